@@ -1,2 +1,332 @@
-QUERIES = {}
-ORACLE = {}
+"""Folds, metrics, ensembles, attribution and scoring.
+
+The arithmetic is checked on three fixed formulas that stand in for base models;
+the rows-only queries fit real ones with few rounds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from roadspark.functions import columns as C
+from roadspark.operators import attribution as H
+from roadspark.operators import ensemble as N
+from roadspark.operators import metrics as M
+from roadspark.operators import training as T
+from roadspark.operators import tuning as U
+from roadspark.operators.sampling import with_folds
+from roadspark.operators.scoring import Scorer
+from roadspark.plans.base import HOUR, features_sql, fitted, r, r6, traffic, train_test, with_traffic
+from roadspark.runtime import new_path
+from roadspark.sources.requests import read_requests
+from roadspark.sources.traffic import from_events
+from roadspark.streaming.scoring import start_scoring
+
+NAMES = ["a", "b", "c"]
+# Same text in Spark SQL and in the checking SQL.
+FORMULAS = {
+    "a": "0.05 + 0.01 * hour + 0.02 * NumberofLanes",
+    "b": "0.6 - 0.03 * hour + 0.001 * day",
+    "c": "1.3 * demand - 0.05 + 0.004 * NumberofLanes",
+}
+# Example coefficients of a linear model on fitted features.
+COEFFICIENTS = {
+    "hour": 0.004, "NumberofLanes": 0.03, "Temperature": -0.002, "road_type_encoded": 0.05,
+    "weather_severity_score": -0.01, "adverse_weather": -0.02, "is_peak_hour": 0.07, "has_landmarks": 0.015,
+    "latitude": 0.01, "longitude": -0.005, "hour_sin": 0.02, "hour_cos": -0.03, "weekday_sin": 0.004,
+    "weekday_cos": 0.006, "temperature_bin": 0.011, "large_vehicles_allowed": 0.025, "weekday": -0.001,
+}
+INTERCEPT = 0.2
+WEIGHTS = {"a": 0.5, "c": 0.3}
+STACK = ({"a": 0.4, "b": -0.1, "c": 0.7}, -0.02)
+
+
+def raw_predictions(df: DataFrame) -> DataFrame:
+    timed = df.withColumn("hour", C.hour())
+    return timed.select("Index", "demand", *[
+        F.expr(f"CAST({f} AS DOUBLE)").alias(f"pred_{n}") for n, f in FORMULAS.items()
+    ])
+
+
+def predictions(s, d) -> DataFrame:
+    """An out-of-fold table as base models would leave it: clipped, with folds."""
+    df = with_folds(raw_predictions(traffic(s, d)), 5)
+    return df.select("Index", "fold", "demand", *[M.clipped(F.col(f"pred_{n}")).alias(f"pred_{n}") for n in NAMES])
+
+
+def fold_metrics(s, d):
+    return M.regression_metrics(T.long_predictions(predictions(s, d), NAMES), ["model", "fold"])
+
+
+def weights(s, d):
+    found, r2 = N.fit_weights(N.moments(predictions(s, d), NAMES), NAMES)
+    return r6(s.createDataFrame([(*[found[n] for n in NAMES], r2)], "a double, b double, c double, r2 double"))
+
+
+def stacking(s, d):
+    beta, intercept = N.fit_stacking(N.moments(predictions(s, d), NAMES), NAMES)
+    return r6(s.createDataFrame(
+        [(*[beta[n] for n in NAMES], intercept)], "a double, b double, c double, intercept double"
+    ))
+
+
+def candidates(s, d):
+    scores, _ = N.candidates(predictions(s, d), NAMES)
+    return r6(scores)
+
+
+def combined(s, d):
+    coefficients, intercept = STACK
+    df = raw_predictions(traffic(s, d))
+    return r6(df.select(
+        "Index",
+        N.combine(NAMES, N.EnsembleConfig("weighted", WEIGHTS)).alias("weighted"),
+        N.combine(NAMES, N.EnsembleConfig("stacking", coefficients=coefficients, intercept=intercept)).alias("stacked"),
+        N.combine(NAMES, None).alias("mean"),
+        N.combine(["b"], None).alias("single"),
+    ))
+
+
+def summary(s, d):
+    df = raw_predictions(train_test(s, d)[1])
+    return r6(M.prediction_summary(df.select(N.combine(NAMES, N.EnsembleConfig("weighted", WEIGHTS)).alias("demand"))))
+
+
+def _featured(s, d) -> DataFrame:
+    model = fitted(train_test(s, d)[0])
+    return model.transform(traffic(s, d))
+
+
+def attribution(s, d):
+    return H.linear_attribution(_featured(s, d), COEFFICIENTS, INTERCEPT)
+
+
+def _assembled(s, d):
+    train, _ = train_test(s, d)
+    model = fitted(train)
+    return model, model.assemble(model.transform(train)).persist()
+
+
+def _small_models() -> dict:
+    return {
+        "linear": T.linear_regression(),
+        "random_forest": T.random_forest(trees=10, depth=6),
+        **T.boosted_models(rounds=5, depth=4),
+    }
+
+
+def single_model(name: str):
+    """R2, RMSE and MAE of one fitted model on the days after the split."""
+    def run(s, d):
+        train, test = train_test(s, d)
+        features = fitted(train)
+        rows = features.assemble(features.transform(train)).persist()
+        names = ["boosted_full", "boosted_bagged", "boosted_columns"] if name == "boosted" else [name]
+        models = {n: T.fit(_small_models()[n], rows, early_stop=True) for n in names}
+        scored = T.predict(features.assemble(features.transform(test)), models)
+        long = scored.select(
+            "Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in names]
+        ).unpivot(["Index", "demand"], names, "model", "pred")
+        return r6(M.regression_metrics(long, ["model"]))
+    return run
+
+
+def _two_models() -> dict:
+    return {"linear": T.linear_regression(), "boosted_full": T.boosted(rounds=5, depth=4)}
+
+
+def real_oof(s, d):
+    _, rows = _assembled(s, d)
+    return T.oof_predictions(rows, _two_models(), k=3)
+
+
+def real_leaderboard(s, d):
+    return T.cross_validate(real_oof(s, d), list(_two_models()), half_even=False)
+
+
+def final_models(s, d):
+    """Training error of every base model refitted on all training rows."""
+    _, rows = _assembled(s, d)
+    models, _ = T.train_final(rows, _small_models())
+    scored = T.predict(rows, models).select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in models])
+    return r6(M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"]))
+
+
+_SMALL_SPACES = {
+    name: {**space, "rounds": ("int", 2, 4), "depth": ("int", 2, 4)} for name, space in U.SPACES.items()
+}
+
+
+def tuning_trials(s, d):
+    _, rows = _assembled(s, d)
+    return r6(U.tune(rows, _SMALL_SPACES, trials=2)).drop("params")
+
+
+def tuned(s, d):
+    """Search, then refit the best parameters; test error per model."""
+    features, rows = _assembled(s, d)
+    trials = U.tune(rows, {"boosted_full": _SMALL_SPACES["boosted_full"]}, trials=2)
+    models, _ = T.train_final(rows, U.tuned_models(U.best_parameters(trials)))
+    test = features.assemble(features.transform(train_test(s, d)[1]))
+    scored = T.predict(test, models).select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in models])
+    return r6(M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"]))
+
+
+def _scorer(s, d) -> Scorer:
+    features, rows = _assembled(s, d)
+    oof = T.oof_predictions(rows, _two_models(), k=3)
+    models, _ = T.train_final(rows, _two_models())
+    return Scorer(features, models, N.select_ensemble(oof, list(models)))
+
+
+def scored_test(s, d):
+    """Fit, save, load and score the days after the split."""
+    path = new_path(s, "scorer")
+    _scorer(s, d).save(path)
+    return r6(Scorer.load(s, path).score(train_test(s, d)[1]))
+
+
+def streamed_scores(s, d):
+    """Requests as JSON, scored as a stream; the plain mean of the models."""
+    features, rows = _assembled(s, d)
+    models, _ = T.train_final(rows, _two_models())
+    schema = s.read.parquet(f"{d}/events.parquet").schema
+    stream = from_events(s.readStream.schema(schema).parquet(f"{d}/event[s].parquet"))
+    text = stream.select("Index", F.to_json(F.struct(*[c for c in stream.columns if c not in ("Index", "demand")])).alias("value"))
+    folder = new_path(s, "scores")
+    start_scoring(Scorer(features, models), read_requests(text), folder, new_path(s, "progress")).awaitTermination()
+    return s.read.schema("Index bigint, demand double").parquet(folder)
+
+
+def permuted(s, d):
+    features, rows = _assembled(s, d)
+    model = T.fit(T.boosted(rounds=5, depth=4), rows)
+    phi, _ = H.permutation_attribution(
+        rows, model, features.feature_columns, explained=20, background=10, permutations=1
+    )
+    return r6(phi)
+
+
+QUERIES = {
+    "M01_kfold": lambda s, d: with_folds(traffic(s, d), 5).select("Index", "fold"),
+    "M02_linear_regression": single_model("linear"),
+    "M03_random_forest": single_model("random_forest"),
+    "M04_boosted_trees": single_model("boosted"),
+    "M05_regression_metrics": lambda s, d: r6(fold_metrics(s, d)),
+    "M06_cv_leaderboard": lambda s, d: M.cv_leaderboard(fold_metrics(s, d), half_even=False),
+    "M06_cross_validate": real_leaderboard,
+    "M07_train_final": final_models,
+    "M08_tune": tuning_trials,
+    "M09_train_tuned": tuned,
+    "M10_oof_predictions": lambda s, d: r6(real_oof(s, d)),
+    "M11_weighted_ensemble": weights,
+    "M12_stacking_ensemble": stacking,
+    "M13_select_ensemble": candidates,
+    "M14_combine": combined,
+    "M15_score": scored_test,
+    "M16_prediction_summary": summary,
+    "M17_stream_score": streamed_scores,
+    "H01_linear_attribution": lambda s, d: r6(attribution(s, d)[0]),
+    "H01_permutation_attribution": permuted,
+    "H02_global_importance": lambda s, d: r6(H.global_importance(attribution(s, d)[0], 10)),
+    "H03_summary_points": lambda s, d: r6(H.summary_points(attribution(s, d)[0], 10)),
+    "H04_local_explanation": lambda s, d: r6(H.local_explanation(*attribution(s, d))),
+}
+
+_RAW = f"""timed AS (SELECT *, {HOUR} AS hour FROM traffic),
+    raw AS (SELECT "Index", day, demand, {', '.join(f'CAST({f} AS DOUBLE) AS {n}' for n, f in FORMULAS.items())} FROM timed)"""
+_FOLD = """('0x' || substr(md5('42:' || CAST("Index" AS VARCHAR)), 1, 8))::BIGINT % 5"""
+_OOF = _RAW + f""", oof AS (SELECT "Index", CAST({_FOLD} AS INTEGER) AS fold, demand,
+    {', '.join(f'greatest({n}, 0) AS {n}' for n in NAMES)} FROM raw)"""
+_FOLDS = """long AS (UNPIVOT oof ON a, b, c INTO NAME model VALUE pred),
+    folds AS (SELECT model, fold,
+      1 - sum((demand - pred) ** 2) / (var_pop(demand) * count(*)) AS r2,
+      sqrt(avg((demand - pred) ** 2)) AS rmse, avg(abs(demand - pred)) AS mae FROM long GROUP BY model, fold)"""
+# Every support of the three weights has a closed form; the best feasible one is kept.
+_WEIGHTS = """sums AS (SELECT avg(demand * demand) AS yy, var_pop(demand) AS vy,
+      avg((a - c) * (a - c)) AS aa, avg((b - c) * (b - c)) AS bb, avg((a - c) * (b - c)) AS ab,
+      avg((a - c) * (demand - c)) AS ay, avg((b - c) * (demand - c)) AS by_,
+      avg((demand - c) * (demand - c)) AS cc,
+      avg((a - b) * (demand - b)) / avg((a - b) * (a - b)) AS w_ab FROM oof),
+    options AS (SELECT 1.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM sums UNION ALL SELECT 0, 1 FROM sums
+      UNION ALL SELECT 0, 0 FROM sums UNION ALL SELECT w_ab, 1 - w_ab FROM sums
+      UNION ALL SELECT ay / aa, 0 FROM sums UNION ALL SELECT 0, by_ / bb FROM sums
+      UNION ALL SELECT (ay * bb - by_ * ab) / (aa * bb - ab * ab), (by_ * aa - ay * ab) / (aa * bb - ab * ab) FROM sums),
+    errors AS (SELECT a, b, 1 - a - b AS c,
+      cc - 2 * (a * ay + b * by_) + a * a * aa + 2 * a * b * ab + b * b * bb AS e, vy FROM options, sums
+      WHERE a >= 0 AND b >= 0 AND 1 - a - b >= -1e-12),
+    weights AS (SELECT a, b, greatest(c, 0) AS c, 1 - e / vy AS r2 FROM errors ORDER BY e LIMIT 1)"""
+_STACK = """g AS (SELECT count(*) * var_pop(a) + 1 AS aa, count(*) * var_pop(b) + 1 AS bb, count(*) * var_pop(c) + 1 AS cc,
+      count(*) * covar_pop(a, b) AS ab, count(*) * covar_pop(a, c) AS ac, count(*) * covar_pop(b, c) AS bc,
+      count(*) * covar_pop(a, demand) AS ay, count(*) * covar_pop(b, demand) AS by_, count(*) * covar_pop(c, demand) AS cy,
+      avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(demand) AS my FROM oof),
+    solved AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det,
+      ay * (bb * cc - bc * bc) - ab * (by_ * cc - bc * cy) + ac * (by_ * bc - bb * cy) AS da,
+      aa * (by_ * cc - bc * cy) - ay * (ab * cc - bc * ac) + ac * (ab * cy - by_ * ac) AS db,
+      aa * (bb * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - bb * ac) AS dc FROM g),
+    stack AS (SELECT da / det AS a, db / det AS b, dc / det AS c,
+      my - (da * ma + db * mb + dc * mc) / det AS intercept FROM solved)"""
+_WEIGHTED = "(0.5 * greatest(a, 0) + 1 / 3.0::DOUBLE * greatest(b, 0) + 0.3 * greatest(c, 0)) / (0.8 + 1 / 3.0::DOUBLE)"
+
+_PHI = f"""means AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in COEFFICIENTS)} FROM feats),
+    sample AS (SELECT * FROM feats ORDER BY md5('42:' || CAST("Index" AS VARCHAR)), "Index" LIMIT 1000),
+    phi AS ({' UNION ALL '.join(
+        f'''SELECT s."Index", '{c}' AS feature, s.{c}::DOUBLE AS value, {b} * (s.{c} - m.{c}) AS phi
+        FROM sample s, means m''' for c, b in COEFFICIENTS.items())}),
+    base AS (SELECT {INTERCEPT} + {' + '.join(f'{b} * {c}' for c, b in COEFFICIENTS.items())} AS base_value FROM means),
+    top AS (SELECT feature, avg(abs(phi)) AS importance FROM phi GROUP BY feature
+      ORDER BY importance DESC, feature LIMIT 10)"""
+
+ORACLE = {
+    "M01_kfold": with_traffic(f'SELECT "Index", CAST({_FOLD} AS INTEGER) AS fold FROM traffic'),
+    "M05_regression_metrics": with_traffic(
+        f"SELECT model, fold, {r('r2')}, {r('rmse')}, {r('mae')} FROM folds", _OOF, _FOLDS
+    ),
+    "M06_cv_leaderboard": with_traffic(
+        """SELECT CAST(position AS INTEGER) AS position, model, round(r2, 4) AS r2_mean, round(r2_std, 4) AS r2_std,
+        round(rmse, 4) AS rmse_mean, round(mae, 4) AS mae_mean, position = 1 AS is_best
+        FROM (SELECT *, row_number() OVER (ORDER BY r2 DESC, model) AS position FROM
+          (SELECT model, avg(r2) AS r2, stddev_pop(r2) AS r2_std, avg(rmse) AS rmse, avg(mae) AS mae
+           FROM folds GROUP BY model))""", _OOF, _FOLDS,
+    ),
+    "M11_weighted_ensemble": with_traffic(
+        f"SELECT {r('a')}, {r('b')}, {r('c')}, {r('r2')} FROM weights", _OOF, _WEIGHTS
+    ),
+    "M12_stacking_ensemble": with_traffic(
+        f"SELECT {r('a')}, {r('b')}, {r('c')}, {r('intercept')} FROM stack", _OOF, _STACK
+    ),
+    "M13_select_ensemble": with_traffic(
+        f"""SELECT candidate, {r('1 - sum((demand - p) ** 2) / (var_pop(demand) * count(*))', 'r2')},
+        {r('sqrt(avg((demand - p) ** 2))', 'rmse')}, {r('avg(abs(demand - p))', 'mae')}
+        FROM (UNPIVOT tried ON a, b, c, weighted, stacking INTO NAME candidate VALUE p) GROUP BY candidate""",
+        _OOF, _WEIGHTS, _STACK,
+        """tried AS (SELECT oof.demand, oof.a, oof.b, oof.c,
+          greatest(oof.a * w.a + oof.b * w.b + oof.c * w.c, 0) AS weighted,
+          greatest(oof.a * s.a + oof.b * s.b + oof.c * s.c + s.intercept, 0) AS stacking
+          FROM oof, weights w, stack s)""",
+    ),
+    "M14_combine": with_traffic(
+        f"""SELECT "Index", {r(_WEIGHTED, 'weighted')},
+        {r('greatest(0.4 * greatest(a, 0) - 0.1 * greatest(b, 0) + 0.7 * greatest(c, 0) - 0.02, 0)', 'stacked')},
+        {r('(greatest(a, 0) + greatest(b, 0) + greatest(c, 0)) / 3', 'mean')}, {r('greatest(b, 0)', 'single')} FROM raw""",
+        _RAW,
+    ),
+    "M16_prediction_summary": with_traffic(
+        f"""SELECT {r('avg(p)', 'mean')}, {r('stddev_pop(p)', 'std')}, {r('min(p)', 'min')}, {r('max(p)', 'max')}
+        FROM (SELECT {_WEIGHTED} AS p FROM raw WHERE day >= 70)""", _RAW,
+    ),
+    "H01_linear_attribution": features_sql(f'SELECT "Index", feature, {r("value")}, {r("phi")} FROM phi', "train", _PHI),
+    "H02_global_importance": features_sql(f"SELECT feature, {r('importance')} FROM top", "train", _PHI),
+    "H03_summary_points": features_sql(
+        f'SELECT "Index", feature, {r("value")}, {r("phi")} FROM phi SEMI JOIN top USING (feature)', "train", _PHI
+    ),
+    "H04_local_explanation": features_sql(
+        f"""SELECT "Index", CAST(position AS INTEGER) AS position, feature, {r('phi')}, pooled, {r('base_value')},
+        {r('base_value + sum(phi) OVER (PARTITION BY "Index")', 'prediction')} FROM lines, base""", "train", _PHI,
+        """placed AS (SELECT *, row_number() OVER (PARTITION BY "Index" ORDER BY abs(phi) DESC, feature) AS place
+          FROM phi WHERE "Index" IN (SELECT DISTINCT "Index" FROM phi ORDER BY "Index" LIMIT 3)),
+        lines AS (SELECT "Index", least(place, 15) AS position, CASE WHEN place < 15 THEN feature ELSE '(rest)' END
+          AS feature, sum(phi) AS phi, count(*) AS pooled FROM placed GROUP BY ALL)""",
+    ),
+}
