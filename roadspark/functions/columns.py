@@ -64,14 +64,14 @@ def calendar(day: str = "day", slot: str = "timestamp") -> dict[str, Column]:
 def calendar_flags() -> dict[str, Column]:
     """Flags and cyclic codes over the columns of :func:`calendar`."""
     h, wd = F.col("hour"), F.col("weekday")
-    morning, evening = h.between(*S.MORNING_PEAK), h.between(*S.EVENING_PEAK)
+    morning, evening = ([*range(first, last + 1)] for first, last in (S.MORNING_PEAK, S.EVENING_PEAK))
     turn = 2 * math.pi
     return {
         "quarter": quarter(F.col("month")),
         "is_weekend": flag(wd >= 5),
-        "is_morning_peak": flag(morning),
-        "is_evening_peak": flag(evening),
-        "is_peak_hour": flag(morning | evening),
+        "is_morning_peak": flag(h.isin(morning)),
+        "is_evening_peak": flag(h.isin(evening)),
+        "is_peak_hour": flag(h.isin(morning + evening)),
         "hour_sin": F.sin(turn * h / 24),
         "hour_cos": F.cos(turn * h / 24),
         "weekday_sin": F.sin(turn * wd / 7),

@@ -9,47 +9,37 @@ from pyspark.sql import functions as F
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
-# Twelve characters hold 60 bits, the most whole characters a signed 64-bit number takes.
-_CHUNK = 12
+# Twelve characters hold 60 bits, the most whole characters a 64-bit number takes.
+_CHARS = 12
+_AXIS_BITS = 30
 
 
 def is_valid(geohash: Column) -> Column:
     return F.coalesce(F.translate(geohash, GEOHASH_ALPHABET, "") == "", F.lit(False))
 
 
-def _cell(chunk: Column) -> dict[str, tuple[Column, Column]]:
-    """Per axis: the cell number inside ``chunk`` and the number of cells.
+def _corner(chunk: Column, bit_of_digit: str) -> Column:
+    """Lower cell bound in 1/2^30 of the axis, for up to twelve characters.
 
-    Bits alternate, longitude first, so a base-4 digit holds one bit of each
-    axis. An odd number of bits is filled up with one empty latitude bit.
+    Bits alternate, longitude first, so a base-4 digit holds one bit of each axis.
     """
-    length = F.length(chunk)
-    filler = length % 2
-    number = F.conv(F.translate(chunk, GEOHASH_ALPHABET, BASE32_DIGITS), 32, 10).cast("bigint")
-    pairs = F.conv((number * F.when(filler == 1, 2).otherwise(1)).cast("string"), 10, 4)
-
-    def axis(bit_of_digit: str) -> Column:
-        bits = F.conv(F.translate(pairs, "0123", bit_of_digit), 2, 10).cast("bigint")
-        return F.coalesce(bits, F.lit(0).cast("bigint"))
-
-    lat_bits = F.floor(length * 5 / 2)
-    latitude = F.floor(axis("0101") / F.when(filler == 1, 2).otherwise(1))
-    return {
-        "lat": (latitude, F.pow(F.lit(2.0), lat_bits)),
-        "lon": (axis("0011"), F.pow(F.lit(2.0), length * 5 - lat_bits)),
-    }
+    digits = F.translate(F.rpad(chunk, _CHARS, "0"), GEOHASH_ALPHABET, BASE32_DIGITS)
+    bits = F.translate(F.conv(digits, 32, 4), "0123", bit_of_digit)
+    return F.conv(bits, 2, 10).cast("bigint")
 
 
 def _coordinate(geohash: Column, axis: str, span: int, strict: bool) -> Column:
-    number, cells = _cell(F.substring(geohash, 1, _CHUNK))[axis]
-    # A second chunk refines beyond what a double resolves on either axis.
-    fine_number, fine_cells = _cell(F.substring(geohash, _CHUNK + 1, _CHUNK))[axis]
-    offset = F.when(F.length(geohash) <= _CHUNK, 0.5).otherwise((fine_number + 0.5) / fine_cells)
-    value = -span / 2 + (number + offset) * span / cells
+    digit, first = ("0011", 1) if axis == "lon" else ("0101", 0)
+    cells = float(2**_AXIS_BITS)
+    # The next twelve characters refine beyond what a double resolves.
+    fine = _corner(F.substring(geohash, _CHARS + 1, _CHARS), digit) / cells
+    bits = F.floor((F.length(geohash) * 5 + first) / 2)
+    value = ((_corner(geohash, digit) + fine) / cells + F.pow(F.lit(0.5), bits + 1)) * span - span / 2
+    # Added instead of wrapped around, so that the axes share their common parts.
     if strict:
         illegal = F.raise_error(F.concat(F.lit("illegal geohash: "), F.coalesce(geohash, F.lit("NULL"))))
-        return F.when(is_valid(geohash), value).otherwise(illegal.cast("double"))
-    return F.when(is_valid(geohash), value)
+        return F.coalesce(value, F.lit(0.0)) + F.when(is_valid(geohash), 0.0).otherwise(illegal.cast("double"))
+    return value + F.when(is_valid(geohash), 0.0)
 
 
 def latitude(geohash: str = "geohash", strict: bool = False) -> Column:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,5 +33,12 @@ def pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
+def pearson_matrix(df: DataFrame, columns: list[str]) -> list[list[float | None]]:
+    """Correlations of columns without missing values; None for a constant column."""
+    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(df).select("_v")
+    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
+    return [[None if math.isnan(r) else float(r) for r in row] for row in matrix]
+
+
 def rounded(x: Column, digits: int, half_even: bool = True) -> Column:
     return F.bround(x, digits) if half_even else F.round(x, digits)

@@ -46,18 +46,21 @@ def exact_quantiles(
     value: str | Column,
     probs: list[float],
     by: str | None = None,
+    rows_at_most: int | None = None,
     buffer_rows: int = BUFFER_ROWS,
     sketch: int = _SKETCH,
 ) -> DataFrame:
     """Linearly interpolated quantiles as rows ``([by], prob, value)``.
 
     ``by`` must have few distinct values (a category); NULL groups and NULL
-    values are left out.
+    values are left out. ``rows_at_most`` saves counting where the caller has
+    counted already.
     """
     x = F.col(value) if isinstance(value, str) else value
     rows = df.select((F.col(by) if by else F.lit("")).alias("_g"), x.cast("double").alias("_x"))
     rows = rows.where("_g IS NOT NULL AND _x IS NOT NULL")
-    if rows.count() <= buffer_rows:
+    size = rows.count() if rows_at_most is None else rows_at_most
+    if size <= buffer_rows:
         table = _buffered(rows, probs)
     else:
         table = _narrowed(rows, probs, buffer_rows, sketch)

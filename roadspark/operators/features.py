@@ -21,6 +21,7 @@ from roadspark.runtime import BROADCAST_ROWS, lookup_join, written
 BIN_EDGES = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
 # A location with at least this share of the rows is handled as a hot join key.
 HOT_SHARE = 0.001
+LOCATIONS_PER_PARTITION = 20_000
 
 
 def modes(df: DataFrame, defaults: dict[str, str]) -> dict[str, str]:
@@ -49,18 +50,24 @@ def rejected_geohashes(df: DataFrame) -> DataFrame:
 
 
 def fit_regions(
-    places: DataFrame, sizes: tuple[int, ...], restarts: int, seed: int, parallelism: int = 8
+    places: DataFrame, sizes: tuple[int, ...], restarts: int, seed: int, parallelism: int = 8,
+    rows: int | None = None,
 ) -> dict[int, list[tuple[float, float]]]:
     """K-means centres per size: the restart with the lowest cost.
 
     Runs on distinct locations weighted by their row count, which has the same
-    objective as running on all rows.
+    objective as running on all rows. Restarts are separate Spark jobs side by
+    side; few locations go into few partitions, as every iteration is a job.
     """
     if not sizes:
         return {}
     points = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="point").transform(
         places.where("latitude IS NOT NULL").withColumn("weight", F.col("geo_frequency").cast("double"))
-    ).select("point", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    ).select("point", "weight")
+    rows = places.count() if rows is None else rows
+    if rows <= LOCATIONS_PER_PARTITION * points.rdd.getNumPartitions():
+        points = points.coalesce(max(1, rows // LOCATIONS_PER_PARTITION))
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     if not points.take(1):
         return {k: [(0.0, 0.0)] for k in sizes}
 
@@ -94,29 +101,43 @@ class RoadFeatures(Estimator):
         self.refit_bins, self.strict, self.id_col = refit_bins, strict, id_col
 
     def _fit(self, dataset: DataFrame) -> "RoadFeaturesModel":
-        mode = modes(dataset, {"RoadType": "Residential", "Weather": "Sunny"})
-        median = quantile_values(dataset, "Temperature", [0.5])[0]
+        def learn_places() -> tuple:
+            places = written(locations(dataset), "locations")
+            size = places.agg(F.count("*").alias("n"), F.sum("geo_frequency").alias("rows")).first()
+            centres = fit_regions(places, self.clusters, self.restarts, self.seed, rows=size["n"])
+            return places, size, centres
+
+        def learn_temperature() -> tuple:
+            rows = dataset.count()
+            median = quantile_values(dataset, "Temperature", [0.5], rows_at_most=rows)[0]
+            return median, bin_edges(dataset, median, rows)
+
+        def learn_modes() -> dict:
+            return modes(dataset, {"RoadType": "Residential", "Weather": "Sunny"})
+
+        # Three independent scans, run side by side.
+        steps = (learn_places, learn_temperature, learn_modes)
+        run = inheritable_thread_target(dataset.sparkSession)(lambda step: step())
+        with ThreadPool(len(steps)) as pool:
+            (places, size, centres), (median, edges), mode = pool.map(run, steps, chunksize=1)
         state = {
-            "RoadType": mode["RoadType"],
-            "Weather": mode["Weather"],
+            **mode,
             "Temperature": median,
-            "bin_edges": bin_edges(dataset, median),
+            "bin_edges": edges,
             "refit_bins": self.refit_bins,
             "strict": self.strict,
             "id_col": self.id_col,
+            "locations": size["n"],
+            "rows": size["rows"] or 0,
+            "centres": {str(k): v for k, v in centres.items()},
         }
-        places = written(locations(dataset), "locations")
-        size = places.agg(F.count("*").alias("n"), F.sum("geo_frequency").alias("rows")).first()
-        state["locations"], state["rows"] = size["n"], size["rows"] or 0
-        centres = fit_regions(places, self.clusters, self.restarts, self.seed)
-        state["centres"] = {str(k): v for k, v in centres.items()}
         return RoadFeaturesModel(state, places.select("geohash", "geo_frequency"))
 
 
-def bin_edges(df: DataFrame, median: float | None) -> list[float]:
+def bin_edges(df: DataFrame, median: float | None, rows: int | None = None) -> list[float]:
     """Distinct temperature quintile edges after imputation."""
     filled = F.coalesce(F.col("Temperature"), F.lit(median).cast("double"))
-    edges = quantile_values(df, filled, BIN_EDGES)
+    edges = quantile_values(df, filled, BIN_EDGES, rows_at_most=rows)
     return sorted({e for e in edges if e is not None})
 
 
