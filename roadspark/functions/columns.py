@@ -131,7 +131,7 @@ def road_capacity() -> Column:
     )
 
 
-def nearest(lat: str, lon: str, centres: list[tuple[float, float]]) -> Column:
+def nearest(lat: str, lon: str, centres: list[list[float]]) -> Column:
     """Number of the closest centre, the lowest number on a tie."""
     distances = [
         F.struct(

@@ -52,7 +52,7 @@ def rejected_geohashes(df: DataFrame) -> DataFrame:
 def fit_regions(
     places: DataFrame, sizes: tuple[int, ...], restarts: int, seed: int, parallelism: int = 8,
     rows: int | None = None,
-) -> dict[int, list[tuple[float, float]]]:
+) -> dict[int, list[list[float]]]:
     """K-means centres per size: the restart with the lowest cost.
 
     Runs on distinct locations weighted by their row count, which has the same
@@ -69,12 +69,12 @@ def fit_regions(
         points = points.coalesce(max(1, rows // LOCATIONS_PER_PARTITION))
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     if not points.take(1):
-        return {k: [(0.0, 0.0)] for k in sizes}
+        return {k: [[0.0, 0.0]] for k in sizes}
 
     def run(job: tuple[int, int]):
         k, restart = job
         model = KMeans(k=k, seed=seed + restart, featuresCol="point", weightCol="weight").fit(points)
-        centres = [tuple(float(v) for v in c) for c in model.clusterCenters()]
+        centres = [[float(v) for v in c] for c in model.clusterCenters()]
         return k, (model.summary.trainingCost, restart, centres)
 
     jobs = [(k, r) for k in sizes for r in range(restarts)]
