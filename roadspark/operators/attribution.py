@@ -73,6 +73,8 @@ def permutation_attribution(
         "z array<array<double>>, orders array<array<int>>, places array<array<int>>",
     )
     rows = explain.withColumn("x", vector_to_array("features")).select(id_col, "x")
+    # Few rows, but each becomes thousands below: spread them over the cluster first.
+    rows = rows.repartition(max(1, min(explained, spark.sparkContext.defaultParallelism)), id_col)
     # walks: one row, sized by the parameters.
     steps = (
         rows.withColumn("_k", F.lit(0)).join(F.broadcast(walks.withColumn("_k", F.lit(0))), "_k")

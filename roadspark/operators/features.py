@@ -84,6 +84,10 @@ def fit_regions(
     return {k: min(r for size, r in results if size == k)[2] for k in sizes}
 
 
+def region_columns(centres: dict[str, list[list[float]]]) -> dict:
+    return {f"region_cluster_{k}": C.nearest("latitude", "longitude", c) for k, c in centres.items()}
+
+
 class RoadFeatures(Estimator):
     """Learns imputation values, temperature bins, location counts and regions."""
 
@@ -131,7 +135,7 @@ class RoadFeatures(Estimator):
             "rows": size["rows"] or 0,
             "centres": {str(k): v for k, v in centres.items()},
         }
-        return RoadFeaturesModel(state, places.select("geohash", "geo_frequency"))
+        return RoadFeaturesModel(state, places.withColumns(region_columns(state["centres"])))
 
 
 def bin_edges(df: DataFrame, median: float | None, rows: int | None = None) -> list[float]:
@@ -144,9 +148,9 @@ def bin_edges(df: DataFrame, median: float | None, rows: int | None = None) -> l
 class RoadFeaturesModel(Model):
     """Adds the features of a fitted :class:`RoadFeatures` with native expressions."""
 
-    def __init__(self, state: dict, frequencies: DataFrame):
+    def __init__(self, state: dict, places: DataFrame):
         super().__init__()
-        self.state, self.frequencies = state, frequencies
+        self.state, self.places = state, places
 
     @property
     def feature_columns(self) -> list[str]:
@@ -161,19 +165,22 @@ class RoadFeaturesModel(Model):
             "Temperature": F.coalesce(F.col("Temperature"), median),
         })
 
-    def add_frequency(self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-        hot = F.col("geo_frequency") >= max(self.state["rows"] * HOT_SHARE, 1)
-        joined = lookup_join(df, self.frequencies, "geohash", self.state["locations"], hot, broadcast_rows)
-        return joined.withColumn("geo_frequency", F.coalesce("geo_frequency", F.lit(1)))
+    def add_location(self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+        """Row count, cell centre and regions of the geohash.
 
-    def add_position(self, df: DataFrame) -> DataFrame:
+        Known locations were decoded and assigned once, at fit time; only an
+        unseen geohash is worked out in its row.
+        """
+        hot = F.col("geo_frequency") >= max(self.state["rows"] * HOT_SHARE, 1)
+        joined = lookup_join(df, self.places, "geohash", self.state["locations"], hot, broadcast_rows)
         strict = self.state["strict"]
-        placed = df.withColumns({
-            "latitude": geo.latitude(strict=strict), "longitude": geo.longitude(strict=strict)
+        placed = joined.withColumns({
+            "geo_frequency": F.coalesce("geo_frequency", F.lit(1)),
+            "latitude": F.coalesce("latitude", geo.latitude(strict=strict)),
+            "longitude": F.coalesce("longitude", geo.longitude(strict=strict)),
         })
         return placed.withColumns({
-            f"region_cluster_{k}": C.nearest("latitude", "longitude", centres)
-            for k, centres in self.state["centres"].items()
+            name: F.coalesce(name, column) for name, column in region_columns(self.state["centres"]).items()
         })
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -182,7 +189,7 @@ class RoadFeaturesModel(Model):
         if self.state["refit_bins"]:
             edges = bin_edges(dataset, self.state["Temperature"])
         df = df.withColumns(C.calendar()).withColumns(C.calendar_flags())
-        df = self.add_position(self.add_frequency(df))
+        df = self.add_location(df)
         df = df.withColumns({**C.infrastructure(), **C.weather(edges)})
         df = df.withColumn("road_capacity_score", C.road_capacity())
         df = df.withColumns(C.interactions())
@@ -198,13 +205,13 @@ class RoadFeaturesModel(Model):
         return vector.transform(filled).select(*keep, "features")
 
     def save(self, path: str) -> None:
-        spark = self.frequencies.sparkSession
+        spark = self.places.sparkSession
         spark.createDataFrame([(json.dumps(self.state),)], "state string").write.mode("overwrite").parquet(
             f"{path}/state"
         )
-        self.frequencies.write.mode("overwrite").parquet(f"{path}/frequencies")
+        self.places.write.mode("overwrite").parquet(f"{path}/places")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "RoadFeaturesModel":
         state = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
-        return cls(state, spark.read.parquet(f"{path}/frequencies"))
+        return cls(state, spark.read.parquet(f"{path}/places"))

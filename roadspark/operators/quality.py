@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from roadspark import schema as S
 from roadspark.functions.moments import rounded, sample_kurtosis, sample_skewness
 from roadspark.functions.quantiles import exact_quantiles
+from roadspark.runtime import BROADCAST_ROWS, written
 
 TARGET_QUANTILES = [0.25, 0.50, 0.75, 0.90, 0.95, 0.99]
 
@@ -70,18 +71,35 @@ def total_missing_cells(df: DataFrame, by: str | None = None) -> DataFrame:
     )
 
 
-def duplicates(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:
-    """Rows equal to an earlier one on ``columns`` (default: all); NULLs are equal."""
-    names = columns or [f.name for f in _columns(df, by)]
-    groups = df.groupBy(*_keys(by), *names).agg(F.count("*").alias("_n"))
+def duplicates(df: DataFrame, columns: list[str], by: str | None = None) -> DataFrame:
+    """Rows equal to an earlier one on ``columns``; NULLs are equal."""
+    groups = df.groupBy(*_keys(by), *columns).agg(F.count("*").alias("_n"))
     return _group(groups, by).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
     )
 
 
-def full_duplicates(df: DataFrame, by: str | None = None) -> DataFrame:
-    return duplicates(df, None, by).withColumnRenamed("duplicates", "full_duplicates")
+def full_duplicates(df: DataFrame, by: str | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows equal to an earlier one on all columns; NULLs are equal.
+
+    Only an 8-byte hash of each row is shuffled at first. Rows whose hash occurs
+    more than once are then compared in full, so a collision counts for nothing.
+    """
+    names = [f.name for f in _columns(df, by)]
+    hashed = df.withColumn("_h", F.xxhash64(*names))
+    counts = hashed.groupBy(*_keys(by), "_h").agg(F.count("*").alias("_n"))
+    repeated = written(counts.where("_n > 1").select("_h").distinct(), "repeated")
+    small = repeated.count() <= broadcast_rows
+    suspects = hashed.join(F.broadcast(repeated) if small else repeated, "_h", "left_semi")
+    copies = suspects.groupBy(*_keys(by), *names).agg((F.count("*") - 1).alias("_extra"))
+    extra = copies.select(F.lit(0).cast("bigint").alias("_rows"), "_extra", *_keys(by))
+    rows = _group(df, by).agg(F.count("*").alias("_rows")).select(
+        "_rows", F.lit(0).cast("bigint").alias("_extra"), *_keys(by)
+    )
+    return _group(rows.unionByName(extra), by).agg(
+        F.sum("_rows").alias("total_rows"), F.sum("_extra").alias("full_duplicates")
+    )
 
 
 def key_duplicates(df: DataFrame, by: str | None = None, keys: list[str] = S.KEY_COLUMNS) -> DataFrame:

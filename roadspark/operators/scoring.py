@@ -41,7 +41,7 @@ class Scorer:
         return predict(assembled, self.models).select(id_col, demand.alias(S.TARGET))
 
     def save(self, path: str) -> None:
-        spark = self.features.frequencies.sparkSession
+        spark = self.features.places.sparkSession
         self.features.save(f"{path}/features")
         save_models(spark, self.models, f"{path}/models")
         config = json.dumps(asdict(self.ensemble)) if self.ensemble else None

@@ -56,7 +56,7 @@ def _calendar(*names):
 def frequency_with_unseen(s, d):
     train, _ = train_test(s, d)
     model = fitted(train.where("substr(geohash, 5, 1) <> 'z'"))
-    return model.add_frequency(traffic(s, d)).select("Index", "geohash", "geo_frequency")
+    return model.add_location(traffic(s, d)).select("Index", "geohash", "geo_frequency")
 
 
 def median_and_fill(s, d):

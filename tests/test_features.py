@@ -57,8 +57,8 @@ def test_transform_ignores_row_order_and_partitions(features, sides):
 def test_hot_key_join_equals_broadcast_join(features, sides):
     df = sides[1].withColumn("geohash", F.when(F.col("Index") % 3 == 0, "qp0000").when(
         F.col("Index") % 50 == 1, F.lit(None)).otherwise(F.col("geohash")))
-    small = features.add_frequency(df).orderBy("Index").collect()
-    split = features.add_frequency(df, broadcast_rows=0).orderBy("Index")
+    small = features.add_location(df).orderBy("Index").collect()
+    split = features.add_location(df, broadcast_rows=0).orderBy("Index")
     assert split.collect() == small
     assert len(small) == df.count()
 

@@ -12,7 +12,10 @@ def test_duplicates_treat_nulls_as_equal(spark):
     rows = [(None, 48, "1:0", 1), (None, 48, "1:0", 2), ("a", 48, "1:0", 3), ("a", 48, "1:0", 3)]
     df = spark.createDataFrame(rows, "geohash string, day int, timestamp string, v int")
     assert quality.key_duplicates(df).first().key_duplicates == 2
-    assert quality.full_duplicates(df).first().full_duplicates == 1
+    for limit in (10, 0):
+        row = quality.full_duplicates(df, broadcast_rows=limit).first()
+        assert (row.total_rows, row.full_duplicates) == (4, 1)
+    assert tuple(quality.full_duplicates(df.where("v > 9")).first()) == (0, 0)
     assert quality.key_duplicates(df.where("v > 9")).first().key_duplicates == 0
 
 
