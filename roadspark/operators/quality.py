@@ -164,10 +164,11 @@ def categorical_profile(df: DataFrame, by: str | None = None, top: int = 5) -> D
         F.count("value").alias("unique_values"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
     )
-    order = Window.partitionBy(*keys).orderBy(F.desc("n"), "value")
-    best = (
-        counts.where("value IS NOT NULL")
-        .withColumn("position", F.row_number().over(order)).where(F.col("position") <= top)
+    # NULLs are ranked last and dropped afterwards: a filter on the value would go
+    # down to the scan and keep the two uses of counts from sharing one shuffle.
+    order = Window.partitionBy(*keys).orderBy(F.col("value").isNull(), F.desc("n"), "value")
+    best = counts.withColumn("position", F.row_number().over(order)).where(
+        (F.col("position") <= top) & F.col("value").isNotNull()
     )
     # totals: one row per text column.
     return best.join(F.broadcast(totals), keys, "right").select(
