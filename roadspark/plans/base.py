@@ -16,16 +16,18 @@ from roadspark.sources.traffic import PROJECTION, SPLIT_DAY, read_traffic, split
 DIGITS = 6
 
 
-def r6(df: DataFrame) -> DataFrame:
+def r6(df: DataFrame, **digits: int) -> DataFrame:
+    """Round every double; ``digits`` names columns that need more places."""
     return df.select(*[
-        (F.round(f.name, DIGITS) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name
+        (F.round(f.name, digits.get(f.name, DIGITS)) + F.lit(0.0)).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType) else f.name
         for f in df.schema.fields
     ])
 
 
-def r(expression: str, name: str | None = None) -> str:
+def r(expression: str, name: str | None = None, digits: int = DIGITS) -> str:
     """SQL twin of :func:`r6` for one column."""
-    return f"round({expression}, {DIGITS}) + 0.0 AS {name or expression}"
+    return f"round({expression}, {digits}) + 0.0 AS {name or expression}"
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ from roadspark.operators.sampling import hash_sample
 from roadspark.plans.base import HOUR, MINUTE, r, r6, traffic, with_traffic
 from roadspark.schema import WEATHER_ORDER
 
+# Demand has five decimals, an eightieth of a range four more: nine hold an edge exactly.
+EDGE_DIGITS = 9
 NUMERIC = ["Index", "day", "demand", "NumberofLanes", "Temperature", "hour", "minute"]
 
 
@@ -16,8 +18,8 @@ def _numeric(s, d):
 
 
 QUERIES = {
-    "E01_histogram": lambda s, d: r6(E.histogram(traffic(s, d))),
-    "E02_log_histogram": lambda s, d: r6(E.log_histogram(traffic(s, d))),
+    "E01_histogram": lambda s, d: r6(E.histogram(traffic(s, d)), left=EDGE_DIGITS, right=EDGE_DIGITS),
+    "E02_log_histogram": lambda s, d: r6(E.log_histogram(traffic(s, d)), left=EDGE_DIGITS, right=EDGE_DIGITS),
     "E03_kde_curve": lambda s, d: r6(E.kde_curve(traffic(s, d))),
     "E03_kde_violin_by_weather": lambda s, d: r6(
         E.kde_curve(traffic(s, d).where("Weather IS NOT NULL"), grid=100, cut=2.0, by="Weather")
@@ -45,7 +47,8 @@ QUERIES = {
 
 def _histogram(value: str) -> str:
     return with_traffic(
-        f"""SELECT CAST(b AS INTEGER) AS bin, {r('lo + (b - 1) * w', '"left"')}, {r('lo + b * w', '"right"')},
+        f"""SELECT CAST(b AS INTEGER) AS bin, {r('lo + (b - 1) * w', '"left"', EDGE_DIGITS)},
+        {r('lo + b * w', '"right"', EDGE_DIGITS)},
         coalesce(n, 0) AS count, {r('mean')}, {r('median')}
         FROM range(1, 81) g(b) CROSS JOIN m LEFT JOIN counts ON counts.bin = b""",
         f"x AS (SELECT {value} AS v FROM traffic)",
