@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from roadspark.llm import bitsliced, bpe_automaton, caps, packing, pii, quality, repeats, sharding, simhash
+from roadspark.llm import bitsliced, bpe_automaton, caps, extraction, packing, pii, quality, repeats, sharding, simhash
 
 _RUN = (
-    quality.op1_byte_cnn, bitsliced.op2_bit_sliced_top_k, caps.op4_spherical_caps, packing.op5_power_of_two_packing,
+    quality.op1_byte_cnn, bitsliced.op2_bit_sliced_top_k, extraction.op3_recurrent_blocks,
+    caps.op4_spherical_caps, packing.op5_power_of_two_packing,
     simhash.op6_simhash_blocks, bpe_automaton.op7_tokenization_automaton, repeats.op8_suffix_array_dedup,
     sharding.op9_virtual_slots, pii.op10_candidate_boosting,
 )

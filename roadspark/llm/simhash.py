@@ -65,15 +65,21 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [fingerprint(t or "", words) for t in batch.column(1).to_pylist()]
+        prints = [fingerprint(t, words) for t in batch.column(2).to_pylist()]
         signed = np.array(prints, np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["doc_id", "print"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signed)], names=["doc_id", "row", "print"])
+
+
+def _row_key() -> Column:
+    """The same for rows of equal id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id and ``print``, the fingerprint as a signed long."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        lambda batches: _fingerprints(batches, words), "doc_id long, print long"
+    """doc_id, row key and ``print``, the fingerprint as a signed long."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), text).mapInArrow(
+        lambda batches: _fingerprints(batches, words), "doc_id long, row long, print long"
     )
 
 
@@ -137,24 +143,39 @@ def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, cel
     )
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, blocks: int = BLOCKS, cell: int = CELL
-) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
+def classes(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, cell: int = CELL) -> DataFrame:
+    """``print`` and ``root``, the smallest fingerprint reachable by links, of all distinct fingerprints."""
     if not distance < blocks:
         raise ValueError("there must be more blocks than differing bits")
+    distinct = prints.select("print").distinct()
+    grouped = components(links(distinct, distance, blocks, cell)).withColumnRenamed("node", "print")
+    return distinct.join(grouped, "print", "left").select("print", F.coalesce("root", "print").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, **parameters) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     prints = written(fingerprints(docs, words), "prints")
-    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
-    grouped = components(links(distinct.select("print"), distance, blocks, cell))
-    named = distinct.join(grouped.withColumnRenamed("node", "print"), "print", "left").withColumn(
-        "root", F.coalesce("root", "print")
-    )
+    named = prints.groupBy("print").agg(F.min("doc_id").alias("first")).join(classes(prints, **parameters), "print")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(smallest, "root").select("print", "component_id")
-    return prints.join(classes, "print").select(
+    known = named.join(smallest, "root").select("print", "component_id")
+    return prints.join(known, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def one_of_each(docs: DataFrame, words: int = WORDS, **parameters) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id, null first, then the smallest row key."""
+    prints = written(fingerprints(docs, words), "prints")
+    rows = prints.join(classes(prints, **parameters), "print")
+    chosen = rows.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("one")).select(F.col("one.row").alias("row"))
+    times = prints.groupBy("row").agg(F.count("*").alias("times"))
+    chosen = written(chosen.join(times, "row").select(F.col("row").alias("_row"), "times"), "chosen")
+    kept = docs.withColumn("_row", _row_key()).join(chosen, "_row")
+    if chosen.where("times > 1").isEmpty():
+        return kept.select(*docs.columns)
+    again = kept.where("times > 1").dropDuplicates(["_row"])
+    return kept.where("times = 1").unionByName(again).select(*docs.columns)
+
+
 def op6_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
