@@ -136,7 +136,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, cel
     cells = F.ceil(F.col("n") / cell).cast("int")
     own = F.pmod(F.hash("print"), cells)
     other = F.explode(F.sequence(F.lit(0), cells - 1))
-    spread = keyed.join(sizes, "key").select("print", "key", own.alias("own"), other.alias("other"))
+    # The sizes grow with the table: never broadcast.
+    spread = keyed.join(sizes.hint("merge"), "key").select("print", "key", own.alias("own"), other.alias("other"))
     placed = spread.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "print")
     return placed.repartition("cell").sortWithinPartitions("cell").mapInArrow(
         lambda batches: _linked(batches, distance), "a long, b long"
