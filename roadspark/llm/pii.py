@@ -24,6 +24,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadspark.llm.rows import packed, unpacked
 from roadspark.runtime import use_checkpoints, written
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -193,7 +194,7 @@ def feature_counts(docs: DataFrame) -> DataFrame:
         F.transform("_base", lambda x: F.struct(x.alias("x"), F.lit(1).alias("label"))),
         F.transform("_wider", lambda x: F.struct(x.alias("x"), F.when(on_base(x), 1).otherwise(0).alias("label"))),
     )
-    rows = candidates(docs).where((F.size("_base") > 0) | (F.size("_wider") > 0)).select(side, F.explode(labelled).alias("c"))
+    rows = candidates(docs.select("doc_id", "text")).where((F.size("_base") > 0) | (F.size("_wider") > 0)).select(side, F.explode(labelled).alias("c"))
     features = list(_features(F.col("c.x")).values())
     return (
         rows.select("held_out", F.col("c.label").cast("double").alias("label"), *features)
@@ -327,8 +328,8 @@ def redact(docs: DataFrame, model: CandidateModel) -> DataFrame:
         return F.concat(F.array_join(acc["out"], ""), F.substring(F.col("_text"), acc["at"] + 1, F.length("_text")))
 
     marked = F.aggregate("_spans", start, step, finish)
-    out = _chosen(candidates(docs), model).withColumn("text", F.when(F.size("_spans") > 0, marked).otherwise(F.col("text")))
-    return out.select(*docs.columns)
+    found = _chosen(candidates(packed(docs, F.col("text"))), model)
+    return unpacked(found, docs.columns, text=F.when(F.size("_spans") > 0, marked).otherwise(F.col("text")))
 
 
 def _listed(spans: str) -> Column:

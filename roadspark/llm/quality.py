@@ -21,6 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
+
+from roadspark.llm.rows import packed, unpacked
 
 THRESHOLD = 0.7
 # Rows of this remainder of crc32(doc_id) by FOLDS are never learned from.
@@ -161,24 +164,26 @@ class ByteNetwork:
     def _paired_now(self, data: np.ndarray) -> np.ndarray:
         return self._responses(data, np.arange(0, len(data) - WIDTH, 2))
 
-    def fit(self, texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 32, rate: float = 0.01) -> None:
-        """Adam on the log loss, both classes weighing the same."""
+    def fit(self, texts: list[bytes], labels: list[int], steps: int = 280, batch: int = 32, rate: float = 0.01) -> None:
+        """Adam on the log loss, both classes weighing the same, in whole rounds of about ``steps`` in all."""
         y = np.array(labels, np.float64)
         weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
         rng = np.random.default_rng(11)
         first = {k: np.zeros_like(v) for k, v in self.parameters.items()}
         second = {k: np.zeros_like(v) for k, v in self.parameters.items()}
-        steps, total = 0, epochs * -(-len(texts) // batch)
-        for _ in range(epochs):
-            for rows in np.array_split(rng.permutation(len(texts)), -(-len(texts) // batch)):
-                steps += 1
+        batches = -(-len(texts) // batch)
+        rounds = -(-steps // batches)
+        done, total = 0, rounds * batches
+        for _ in range(rounds):
+            for rows in np.array_split(rng.permutation(len(texts)), batches):
+                done += 1
                 grads = self._gradients([texts[r] for r in rows], y[rows], weight[rows])
-                pace = rate * min(1.0, 2 * (1 - steps / total) + 0.05)
+                pace = rate * min(1.0, 2 * (1 - done / total) + 0.05)
                 for k, g in grads.items():
                     g = g / len(rows)
                     first[k] = 0.9 * first[k] + 0.1 * g
                     second[k] = 0.99 * second[k] + 0.01 * g * g
-                    step = first[k] / (1 - 0.9**steps) / (np.sqrt(second[k] / (1 - 0.99**steps)) + 1e-6)
+                    step = first[k] / (1 - 0.9**done) / (np.sqrt(second[k] / (1 - 0.99**done)) + 1e-6)
                     self.parameters[k] -= (pace * step).astype(np.float32)
         self._pairs = None
 
@@ -219,22 +224,19 @@ def _scored(batches: Iterator[pa.RecordBatch], network: ByteNetwork | None) -> I
     for batch in batches:
         texts = batch.column("_text").to_pylist()
         scores = [0.5 if network is None else network.score((t or "").encode("utf-8")) for t in texts]
-        names = [n for n in batch.schema.names if n != "_text"]
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(n) for n in names], pa.array(scores, pa.float64())], names=[*names, "_score"]
-        )
+        yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(scores, pa.float64())], names=["_doc", "_score"])
 
 
 def scored(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
-    """``docs`` with ``_score``, the probability of label 1."""
-    rows = docs.withColumn("_text", F.col("text").cast("string"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return rows.mapInArrow(lambda batches: _scored(batches, network), f"{kinds}, _score double")
+    """``_doc``, the whole row, and ``_score``, the probability of label 1."""
+    rows = packed(docs, F.col("text").cast("string").alias("_text"))
+    schema = StructType([rows.schema["_doc"]]).add("_score", DoubleType())
+    return rows.mapInArrow(lambda batches: _scored(batches, network), schema)
 
 
 def keep_good(docs: DataFrame, network: ByteNetwork | None, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` whose score reaches the threshold; all columns stay."""
-    return scored(docs, network).where(F.col("_score") >= threshold).drop("_score")
+    return unpacked(scored(docs, network).where(F.col("_score") >= threshold), docs.columns)
 
 
 def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,6 +244,6 @@ def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = scored(docs.select("doc_id", "text"), network)
     return out.select(
-        "doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
+        "_doc.doc_id", held_out("_doc.doc_id").alias("held_out"), F.col("_score").alias("score"),
         (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
     )

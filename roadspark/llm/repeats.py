@@ -30,7 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
+from roadspark.llm.rows import packed, unpacked
 from roadspark.runtime import written
 
 WINDOW = 200
@@ -345,8 +347,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows with their text, and the key that equal texts share."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumn("_text", text).withColumn("_key", F.xxhash64("_text")).withColumn(
-        "_size", F.octet_length("_text").cast("long")
+    return packed(docs, text.alias("text")).withColumn("key", F.xxhash64("text")).withColumn(
+        "size", F.octet_length("text").cast("long")
     )
 
 
@@ -354,7 +356,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part
     """key, size and ``spans`` (array of byte ranges, unordered, overlapping) of texts that hold repeats."""
     if not 8 <= gram <= window:
         raise ValueError("a gram has 8 bytes at least and fits into the window")
-    keyed = _keyed(docs).select(F.col("_key").alias("key"), F.col("_size").alias("size"), F.col("_text").alias("text"))
+    keyed = _keyed(docs).select("key", "size", "text")
     contexts = keyed.where(F.col("size") >= window).mapInArrow(
         lambda batches: _contexts(batches, window, gram),
         "anchor long, whole long, key long, size long, at long, starts int",
@@ -421,11 +423,11 @@ def _kept(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _removed(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.RecordBatch]:
-    """Add what is left of ``_text`` after its ``spans``, or its digest, with counts."""
+    """What is left of ``text`` after its ``spans``, or its digest, with counts, beside the whole row."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             some = batch.slice(at, 500)
-            texts, spans = some.column("_text").to_pylist(), some.column("spans").to_pylist()
+            texts, spans = some.column("text").to_pylist(), some.column("spans").to_pylist()
             n, gone, runs, left = [], [], [], []
             for text, own in zip(texts, spans):
                 raw = text.encode("utf-8")
@@ -436,38 +438,29 @@ def _removed(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.Rec
                 runs.append(len(own))
                 # A cut inside a character leaves bytes that are no text; those are dropped with it.
                 left.append(hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "ignore"))
-            names = [c for c in some.schema.names if c not in ("_text", "spans")]
+            counts = [pa.array(c, pa.int64()) for c in (n, gone, runs)]
             yield pa.RecordBatch.from_arrays(
-                [*[some.column(c) for c in names], *[pa.array(c, pa.int64()) for c in (n, gone, runs)], pa.array(left, pa.string())],
-                names=[*names, "_n_bytes", "_n_removed", "_n_spans", "_left"],
+                [some.column("_doc"), *counts, pa.array(left, pa.string())], names=["_doc", "n_bytes", "n_removed", "n_spans", "left"]
             )
 
 
-def _cleaned(docs: DataFrame, columns: list[str], digest: bool, **parameters) -> DataFrame:
-    spans = repeated_spans(docs, **parameters).select(F.col("key").alias("_key"), F.col("size").alias("_size"), "spans")
-    rows = _keyed(docs).select(*columns, "_text", "_key", "_size").join(spans, ["_key", "_size"], "left")
-    rows = rows.select(*columns, "_text", "spans")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*columns).schema.fields)
-    return rows.mapInArrow(
-        lambda batches: _removed(batches, digest),
-        f"{kinds}, _n_bytes long, _n_removed long, _n_spans long, _left string",
-    )
+def _cleaned(docs: DataFrame, digest: bool, **parameters) -> DataFrame:
+    rows = _keyed(docs).join(repeated_spans(docs, **parameters), ["key", "size"], "left").select("_doc", "text", "spans")
+    schema = StructType([rows.schema["_doc"]])
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        schema = schema.add(name, LongType())
+    return rows.mapInArrow(lambda batches: _removed(batches, digest), schema.add("left", StringType()))
 
 
 def without_repeats(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with every repeated passage taken out of ``text``; all rows and columns stay."""
-    others = [c for c in docs.columns if c != "text"]
-    out = _cleaned(docs, others, False, **parameters)
-    return out.select(*[F.col("_left").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return unpacked(_cleaned(docs, False, **parameters), docs.columns, text=F.col("left"))
 
 
 def removal_report(docs: DataFrame, **parameters) -> DataFrame:
     """doc_id, bytes, removed bytes, removed runs and the digest of what is left, of every row."""
-    out = _cleaned(docs.select("doc_id", "text"), ["doc_id"], True, **parameters)
-    return out.select(
-        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
-        F.col("_n_spans").alias("n_spans"), F.col("_left").alias("kept_sha256"),
-    )
+    out = _cleaned(docs.select("doc_id", "text"), True, **parameters)
+    return out.select("_doc.doc_id", "n_bytes", "n_removed", "n_spans", F.col("left").alias("kept_sha256"))
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

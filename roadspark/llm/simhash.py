@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspark.llm.components import components, merge
+from roadspark.llm.rows import packed, unpacked
 from roadspark.runtime import written
 
 WORDS = 4
@@ -170,12 +171,11 @@ def one_of_each(docs: DataFrame, words: int = WORDS, **parameters) -> DataFrame:
     rows = prints.join(classes(prints, **parameters), "print")
     chosen = rows.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("one")).select(F.col("one.row").alias("row"))
     times = prints.groupBy("row").agg(F.count("*").alias("times"))
-    chosen = written(chosen.join(times, "row").select(F.col("row").alias("_row"), "times"), "chosen")
-    kept = docs.withColumn("_row", _row_key()).join(chosen, "_row")
-    if chosen.where("times > 1").isEmpty():
-        return kept.select(*docs.columns)
-    again = kept.where("times > 1").dropDuplicates(["_row"])
-    return kept.where("times = 1").unionByName(again).select(*docs.columns)
+    chosen = written(chosen.join(times, "row"), "chosen")
+    kept = packed(docs, _row_key().alias("row")).join(chosen, "row")
+    if not chosen.where("times > 1").isEmpty():
+        kept = kept.where("times = 1").unionByName(kept.where("times > 1").dropDuplicates(["row"]))
+    return unpacked(kept, docs.columns)
 
 
 def op6_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
