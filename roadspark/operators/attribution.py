@@ -12,18 +12,17 @@ from pyspark.sql import functions as F
 from roadspark import schema as S
 from roadspark.operators.sampling import hash_sample
 
-EXPLAINED_ROWS = 1000
 BACKGROUND_ROWS = 100
 PERMUTED_ROWS = 200
 
 
 def linear_attribution(
     df: DataFrame, coefficients: dict[str, float], intercept: float,
-    sample: int | None = EXPLAINED_ROWS, id_col: str = S.ID,
+    sample: int | None = None, id_col: str = S.ID,
 ) -> tuple[DataFrame, DataFrame]:
     """Exact Shapley values of a linear model: coefficient x distance from the mean.
 
-    Returns ``(id, feature, value, phi)`` for the sampled rows and the one-row
+    Returns ``(id, feature, value, phi)`` for all rows, or for a sample if asked for, and the one-row
     ``base_value``, the mean prediction over all of ``df``.
     """
     names = list(coefficients)

@@ -149,7 +149,7 @@ def quantile_table(df: DataFrame, column: str = S.TARGET, probs: list[float] = Q
 
 
 def demand_by_hour(df: DataFrame) -> DataFrame:
-    return df.groupBy(C.hour().alias("hour")).agg(
+    return df.where(C.hour().isNotNull()).groupBy(C.hour().alias("hour")).agg(
         F.avg(S.TARGET).alias("mean"), F.stddev_samp(S.TARGET).alias("std")
     ).select(
         "hour", "mean", "std",
@@ -158,7 +158,8 @@ def demand_by_hour(df: DataFrame) -> DataFrame:
 
 
 def _mean_by(df: DataFrame, name: str, key: Column) -> DataFrame:
-    return df.groupBy(key.alias(name)).agg(F.avg(S.TARGET).alias("mean"))
+    """Means of known keys."""
+    return df.where(key.isNotNull()).groupBy(key.alias(name)).agg(F.avg(S.TARGET).alias("mean"))
 
 
 def demand_by_day(df: DataFrame) -> DataFrame:
@@ -182,7 +183,7 @@ def top_locations(df: DataFrame, n: int = 30) -> DataFrame:
 
 def top_regions(df: DataFrame, prefix: int = 4, n: int = 20) -> DataFrame:
     return (
-        df.groupBy(F.substring("geohash", 1, prefix).alias("region"))
+        df.where(F.col("geohash").isNotNull()).groupBy(F.substring("geohash", 1, prefix).alias("region"))
         .agg(F.avg(S.TARGET).alias("mean"), F.count(S.TARGET).alias("count"))
         .orderBy(F.desc("mean"), "region").limit(n)
     )
@@ -208,9 +209,9 @@ def temperature_fit(df: DataFrame, sample: int | None = None, id_col: str = S.ID
 
 
 def temperature_trend(
-    df: DataFrame, sample: int | None = 5000, points: int = 100, id_col: str = S.ID
+    df: DataFrame, sample: int | None = None, points: int = 100, id_col: str = S.ID
 ) -> DataFrame:
-    """The fitted line on evenly spaced temperatures."""
+    """The line fitted to all rows (or to a sample, if asked for) on evenly spaced temperatures."""
     fit = temperature_fit(df, sample, id_col)
     step = (F.col("t_max") - F.col("t_min")) / (points - 1)
     return (
@@ -221,7 +222,7 @@ def temperature_trend(
 
 
 def demand_by_lanes(df: DataFrame) -> DataFrame:
-    return df.groupBy("NumberofLanes").agg(
+    return df.where(F.col("NumberofLanes").isNotNull()).groupBy("NumberofLanes").agg(
         F.avg(S.TARGET).alias("mean"), F.stddev_samp(S.TARGET).alias("std")
     )
 

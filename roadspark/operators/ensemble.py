@@ -91,18 +91,21 @@ def combine(models: list[str], config: EnsembleConfig | None, prefix: str = "pre
 
     A model without a weight counts with 1/m before the weights are scaled to
     sum 1. Stacking without coefficients, and no ensemble at all, give the mean.
+    Stacking needs every model it was fitted on: a partial sum would be wrong.
     """
     if not models:
         raise ValueError("no models to combine")
     columns = [clipped(F.col(f"{prefix}{m}")) for m in models]
     kind = config.best_type if config else "mean"
-    if len(models) == 1:
+    if len(models) == 1 and not (kind == "stacking" and config.coefficients):
         return clipped(columns[0])
     if kind == "weighted":
         weights = [config.weights.get(m, 1.0 / len(models)) for m in models]
         terms = [c * (w / sum(weights)) for c, w in zip(columns, weights)]
         return clipped(sum(terms[1:], terms[0]))
     if kind == "stacking" and config.coefficients:
+        if set(models) != set(config.coefficients):
+            raise ValueError(f"stacking was fitted on {sorted(config.coefficients)}, not on {sorted(models)}")
         terms = [c * config.coefficients[m] for c, m in zip(columns, models)]
         return clipped(sum(terms, F.lit(config.intercept)))
     return clipped(sum(columns[1:], columns[0]) / len(columns))

@@ -25,7 +25,7 @@ def _stats(*, std: bool = True, count: bool = True) -> list[Column]:
 
 
 def hourly_demand(df: DataFrame) -> DataFrame:
-    return df.groupBy(C.hour().alias("hour")).agg(*_stats())
+    return df.where(C.hour().isNotNull()).groupBy(C.hour().alias("hour")).agg(*_stats())
 
 
 def _with_median(df: DataFrame, by: str) -> DataFrame:
@@ -48,12 +48,12 @@ def road_capacity(df: DataFrame) -> DataFrame:
 
 
 def lane_analysis(df: DataFrame) -> DataFrame:
-    return df.groupBy("NumberofLanes").agg(*_stats())
+    return df.where(F.col("NumberofLanes").isNotNull()).groupBy("NumberofLanes").agg(*_stats())
 
 
 def weekday_demand(df: DataFrame) -> DataFrame:
     return (
-        df.groupBy(C.weekday().alias("weekday")).agg(*_stats(count=False))
+        df.where(C.weekday().isNotNull()).groupBy(C.weekday().alias("weekday")).agg(*_stats(count=False))
         .withColumn("name", C.weekday_name(F.col("weekday")))
     )
 
@@ -83,8 +83,8 @@ def peak_hours(hourly: DataFrame, k: int = 5) -> DataFrame:
 
 
 def heatmap(df: DataFrame) -> DataFrame:
-    """Mean demand per location, decoded after the grouping."""
-    return df.groupBy("geohash").agg(F.avg(S.TARGET).alias(S.TARGET)).select(
+    """Mean demand per known location, decoded after the grouping."""
+    return df.where(F.col("geohash").isNotNull()).groupBy("geohash").agg(F.avg(S.TARGET).alias(S.TARGET)).select(
         "geohash", S.TARGET, geo.latitude().alias("latitude"), geo.longitude().alias("longitude")
     )
 

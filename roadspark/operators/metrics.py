@@ -10,16 +10,19 @@ from roadspark.functions.moments import rounded
 
 
 def clipped(prediction: Column) -> Column:
-    """Demand cannot be negative; there is no upper bound."""
-    return F.greatest(prediction, F.lit(0.0))
+    """Demand cannot be negative; there is no upper bound. An absent prediction stays absent."""
+    return F.when(prediction.isNotNull(), F.greatest(prediction, F.lit(0.0)))
 
 
 def regression_metrics(predictions: DataFrame, by: list[str], target: str = S.TARGET) -> DataFrame:
-    """R2, RMSE and MAE of the clipped ``pred`` per group, in one aggregation."""
+    """R2, RMSE and MAE of the clipped ``pred`` per group, in one aggregation.
+
+    Only rows with both a target and a prediction count.
+    """
     y = F.col(target)
     error = y - clipped(F.col("pred"))
-    sse, n = F.sum(error * error), F.count("*")
-    spread = F.var_pop(y) * n
+    sse, n = F.sum(error * error), F.count(error)
+    spread = F.var_pop(F.when(error.isNotNull(), y)) * n
     return predictions.groupBy(*by).agg(
         (1 - F.try_divide(sse, spread)).alias("r2"),
         F.sqrt(sse / n).alias("rmse"),

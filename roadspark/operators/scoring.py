@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from roadspark.functions.moments import rounded
 from roadspark.operators.ensemble import EnsembleConfig, combine
 from roadspark.operators.features import RoadFeaturesModel
 from roadspark.operators.training import predict
+from roadspark.runtime import path_exists
 
 
 @dataclass
@@ -73,23 +73,14 @@ def load_models(spark: SparkSession, path: str, names: list[str] | None = None)
     if names is None:
         manifest = spark.read.parquet(f"{path}/manifest").orderBy("position")
         names = [r["name"] for r in manifest.collect()]
-    found: dict[str, Model] = {}
-    for name in names:
-        try:
-            found[name] = PipelineModel.load(f"{path}/{name}").stages[-1]
-        except Exception as error:  # a missing model is skipped, other failures are not
-            if not _is_missing(error):
-                raise
+    # A model that is not there is skipped; one that cannot be read is an error.
+    found: dict[str, Model] = {
+        name: PipelineModel.load(f"{path}/{name}").stages[-1] for name in names if path_exists(spark, f"{path}/{name}")
+    }
     if not found:
         raise FileNotFoundError(f"no models under {path}")
     return found
 
 
-def _is_missing(error: Exception) -> bool:
-    text = str(error)
-    known = isinstance(error, PySparkException) or "Py4J" in type(error).__name__
-    return known and any(t in text for t in ("does not exist", "PATH_NOT_FOUND", "empty collection"))
-
-
 def submission(scored: DataFrame, id_col: str = S.ID) -> DataFrame:
     return scored.select(F.col(id_col).alias("Index"), F.col(S.TARGET))

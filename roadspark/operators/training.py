@@ -15,6 +15,8 @@ from roadspark.operators.metrics import clipped, cv_leaderboard, regression_metr
 from roadspark.operators.sampling import fold_column, with_folds
 from roadspark.runtime import use_checkpoints, written
 
+# Rounds without gain after which boosting ends.
+PATIENCE = 50
 BOOSTED = ["boosted_full", "boosted_bagged", "boosted_columns"]
 
 
@@ -60,18 +62,32 @@ def default_models(
     }
 
 
-def fit(estimator: Estimator, train: DataFrame, early_stop: bool = False, id_col: str = S.ID) -> Model:
-    """Fit one model. With ``early_stop`` a tenth of the *training* rows decides when
-    boosting ends, so that the rows a model is scored on never steer it."""
+def fit(
+    estimator: Estimator, train: DataFrame, early_stop: bool = False, id_col: str = S.ID, patience: int = PATIENCE
+) -> Model:
+    """Fit one model. With ``early_stop`` a tenth of the *training* rows decides how
+    many rounds boosting gets, so that the rows a model is scored on never steer
+    it; the model is then fitted to all training rows with that many."""
     use_checkpoints(train.sparkSession)
     if early_stop and isinstance(estimator, GBTRegressor):
         held_out = fold_column(10, S.SEED + 1, id_col) == 0
-        return estimator.copy({estimator.validationIndicatorCol: "_stop"}).fit(
-            train.withColumn("_stop", held_out)
-        )
+        grown = estimator.fit(train.where(~held_out))
+        errors = grown.evaluateEachIteration(train.where(held_out), "squared")
+        estimator = estimator.copy({estimator.maxIter: best_rounds(errors, patience)})
     return estimator.fit(train)
 
 
+def best_rounds(errors: list[float], patience: int = PATIENCE) -> int:
+    """The round of least error before ``patience`` rounds in a row bring no gain."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def predict(df: DataFrame, models: dict[str, Model], prefix: str = "pred_") -> DataFrame:
     """One clipped prediction column per model, next to the columns of ``df``."""
     for name, model in models.items():

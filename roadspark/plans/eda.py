@@ -156,8 +156,8 @@ ORACLE = {
     ),
     "E14_temperature_trend": with_traffic(
         f"""SELECT CAST(p AS INTEGER) AS point, {r('t', 'temperature')}, {r('intercept + slope * t', 'trend')}
-        FROM (SELECT *, t_min + p * ((t_max - t_min) / 99) AS t FROM {_FIT.format(source='sample')} f
-        CROSS JOIN range(0, 100) g(p))""", _sample(5000, "Temperature IS NOT NULL"),
+        FROM (SELECT *, t_min + p * ((t_max - t_min) / 99) AS t FROM {_FIT.format(source='traffic WHERE Temperature IS NOT NULL')} f
+        CROSS JOIN range(0, 100) g(p))""",
     ),
     "E14_temperature_fit": with_traffic(
         f"""SELECT {r('slope')}, {r('intercept')}, {r('t_min')}, {r('t_max')}, n

@@ -270,10 +270,9 @@ _STACK = """g AS (SELECT count(*) * var_pop(a) + 1 AS aa, count(*) * var_pop(b)
 _WEIGHTED = "(0.5 * greatest(a, 0) + 1 / 3.0::DOUBLE * greatest(b, 0) + 0.3 * greatest(c, 0)) / (0.8 + 1 / 3.0::DOUBLE)"
 
 _PHI = f"""means AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in COEFFICIENTS)} FROM feats),
-    sample AS (SELECT * FROM feats ORDER BY md5('42:' || CAST("Index" AS VARCHAR)), "Index" LIMIT 1000),
     phi AS ({' UNION ALL '.join(
         f'''SELECT s."Index", '{c}' AS feature, s.{c}::DOUBLE AS value, {b} * (s.{c} - m.{c}) AS phi
-        FROM sample s, means m''' for c, b in COEFFICIENTS.items())}),
+        FROM feats s, means m''' for c, b in COEFFICIENTS.items())}),
     base AS (SELECT {INTERCEPT} + {' + '.join(f'{b} * {c}' for c, b in COEFFICIENTS.items())} AS base_value FROM means),
     top AS (SELECT feature, avg(abs(phi)) AS importance FROM phi GROUP BY feature
       ORDER BY importance DESC, feature LIMIT 10)"""

@@ -35,6 +35,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each text file, read by the driver; nothing beyond it is parsed."""
+    read = {}
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+        try:
+            reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            read[path] = reader.readLine() or ""
+        finally:
+            stream.close()
+    return read
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Point iterative ML training at the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -10,28 +11,47 @@ from pyspark.sql import functions as F
 
 from roadspark import schema as S
 from roadspark.operators import quality
+from roadspark.runtime import first_lines
+
+# The words that stand for a missing value in CSV files.
+MISSING_WORDS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def read_observations(spark: SparkSession, path: str, kind: str = "train", file_format: str = "csv") -> DataFrame:
     """Typed observations from CSV with a header, or from parquet or JSON.
 
-    Columns are matched by name, whatever their order in the file; columns the
-    schema does not name are left out and absent ones are NULL.
+    Columns are matched by name, in every file of a folder by that file's own
+    header; columns the schema does not name are left out and absent ones are
+    NULL. In CSV the words of ``MISSING_WORDS`` are NULL, too.
     """
     schema = S.SCHEMAS[kind]
     if file_format != "csv":
         return spark.read.format(file_format).schema(schema).load(path)
     raw = read_raw(spark, path)
+    known = lambda name: F.when(~F.trim(name).isin(MISSING_WORDS), F.col(name))
     return raw.select(*[
-        F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in raw.columns
+        known(f.name).try_cast(f.dataType).alias(f.name) if f.name in raw.columns
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.fields
     ])
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, for :func:`roadspark.operators.quality.validate_schema`."""
-    return spark.read.option("header", True).csv(path)
+    """Every column as text, for :func:`roadspark.operators.quality.validate_schema`.
+
+    Files are read together with those of the same header and stacked by name.
+    """
+    files = spark.read.text(path).inputFiles()
+    heads: dict[str, list[str]] = {}
+    for file, line in first_lines(spark, sorted(files)).items():
+        heads.setdefault(line, []).append(file)
+    if len(heads) < 2:
+        return spark.read.option("header", True).csv(path)
+    parts = [spark.read.option("header", True).csv(own) for line, own in heads.items() if line]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
