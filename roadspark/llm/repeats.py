@@ -347,7 +347,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows with their text, and the key that equal texts share."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return packed(docs, text.alias("text")).withColumn("key", F.xxhash64("text")).withColumn(
+    return packed(docs, text.alias("text"), without="text").withColumn("key", F.xxhash64("text")).withColumn(
         "size", F.octet_length("text").cast("long")
     )
 
@@ -361,7 +361,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part
         lambda batches: _contexts(batches, window, gram),
         "anchor long, whole long, key long, size long, at long, starts int",
     )
-    again = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written first, so that both sides of the join are plain shuffles and a skewed one can be split.
+    again = written(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     repeated = written(contexts.join(again, "anchor"), "contexts")
     kinds = written(
         repeated.groupBy("anchor", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("key", "size", "at", "starts")).alias("one")),

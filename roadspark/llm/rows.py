@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def packed(df: DataFrame, *columns: Column) -> DataFrame:
-    """One struct ``_doc`` with all columns of ``df``, and the given columns beside it."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_doc"), *columns)
+def packed(df: DataFrame, *columns: Column, without: str | None = None) -> DataFrame:
+    """One struct ``_doc`` with all columns of ``df`` but ``without``, and the given columns beside it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != without]).alias("_doc"), *columns)
 
 
 def unpacked(df: DataFrame, names: list[str], **replaced: Column) -> DataFrame:
