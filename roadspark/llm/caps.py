@@ -7,8 +7,10 @@ codeword per block. Every vector lives in one home cap, its nearest direction
 within reach of it could live in. That list is exact: a partner's block can have
 codeword ``c`` nearest only across the plane halfway between ``c`` and the own
 nearest codeword, so the squared distances to those planes, summed over blocks,
-are at most the squared chord of the similarity. Joining lists with homes thus
-meets every linked pair, once from each side, and each meeting is verified.
+are at most the squared chord of the similarity. Either of two linked vectors
+thus lists the other's home, so a vector is sent only to the caps from its own
+home on: joining lists with homes meets every linked pair of different homes
+once, and each meeting is verified and counted for both.
 
 Equal vectors of a label are one row with a count from the start. Caps with many
 vectors are cut into cells of bounded size, one task compares one cell of homes
@@ -31,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from roadspark.llm.components import components, merge
 from roadspark.runtime import written
@@ -114,7 +117,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], words: int, similarity: float) -
 def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Links between the homes and the lists of each cell; rows come ordered by ``cell``."""
 
-    def found(home, node, copies, vectors):
+    def found(home, both, node, copies, vectors):
         of_home, of_list = np.flatnonzero(home), np.flatnonzero(~home)
         root, count = np.arange(len(node)), np.zeros(len(node), np.int64)
         target = vectors[of_home].T
@@ -123,6 +126,9 @@ def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
             near = vectors[rows] @ target >= similarity
             near &= node[rows][:, None] != node[of_home][None, :]
             count[rows] = near @ copies[of_home]
+            # Two of one home meet from either side, two of different homes only here.
+            lower = both[rows]
+            count[of_home] += copies[rows[lower]] @ near[lower]
             a, b = np.nonzero(near)
             merge(root, rows[a], of_home[b])
         keep = np.flatnonzero((count > 0) | (root != np.arange(len(node))))
@@ -148,10 +154,10 @@ def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
             home = own["is_home"].to_numpy()
             if home.all() or not home.any():
                 continue
-            node, copies = own["node"].to_numpy(), own["copies"].to_numpy()
+            node, copies, both = (own[c].to_numpy() for c in ("node", "copies", "both"))
             # A cell has vectors of one length only.
             ((_, values),) = _matrix(own["vector"].combine_chunks())
-            yield found(home, node, copies, unit(values))
+            yield found(home, both, node, copies, unit(values))
         held = rows.slice(done).to_batches()
 
 
@@ -176,9 +182,11 @@ def near_duplicates(
     ``homes`` and ``lists`` bound the cells that one task compares, ``words`` the
     codewords per block (by the number of vectors if not given).
     """
-    table = embeddings.select(
-        F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"), "label"
-    ).withColumn("part", F.col("label").isNotNull() & _takes_part("vector"))
+    # Single precision travels as it is and is widened where it is compared.
+    single = isinstance(getattr(embeddings.schema["embedding"].dataType, "elementType", None), FloatType)
+    kind = "array<float>" if single else "array<double>"
+    table = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast(kind).alias("vector"), "label")
+    table = table.withColumn("part", F.col("label").isNotNull() & _takes_part("vector"))
     # The zero's sign must not tell equal vectors apart.
     plain = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     table = table.withColumn("node", F.when(F.col("part"), F.xxhash64("label", F.size("vector"), plain)))
@@ -191,7 +199,7 @@ def near_duplicates(
     decoded = written(
         distinct.select("node", "copies", "vector", F.xxhash64("label", F.size("vector")).alias("group")).mapInArrow(
             lambda batches: _decoded(batches, words, similarity),
-            "node long, copies long, vector array<double>, group long, home long, caps array<long>",
+            f"node long, copies long, vector {kind}, group long, home long, caps array<long>",
         ),
         "caps",
     )
@@ -212,8 +220,10 @@ def near_duplicates(
 
 def _meetings(decoded: DataFrame, homes: int, lists: int, similarity: float) -> DataFrame:
     """Counts and tree edges of all cells."""
-    at_home = decoded.select("group", F.col("home").alias("cap"), "node", "copies", "vector").withColumn("is_home", F.lit(True))
-    listed = decoded.select("group", F.explode("caps").alias("cap"), "node", "copies", "vector").withColumn("is_home", F.lit(False))
+    at_home = decoded.select("group", F.col("home").alias("cap"), "node", "copies", "vector").withColumn("is_home", F.lit(True)).withColumn("both", F.lit(False))
+    onward = F.explode(F.filter("caps", lambda cap: cap >= F.col("home"))).alias("cap")
+    listed = decoded.select("group", onward, "node", "copies", "vector", F.lit(False).alias("is_home"), "home")
+    listed = listed.withColumn("both", F.col("cap") > F.col("home")).drop("home")
     sizes = (
         at_home.groupBy("group", "cap").agg(F.count("*").alias("h"))
         .join(listed.groupBy("group", "cap").agg(F.count("*").alias("q")), ["group", "cap"])
@@ -228,7 +238,7 @@ def _meetings(decoded: DataFrame, homes: int, lists: int, similarity: float) ->
     h = F.when(F.col("is_home"), F.col("own")).otherwise(F.col("other"))
     q = F.when(F.col("is_home"), F.col("other")).otherwise(F.col("own"))
     return (
-        rows.select(F.xxhash64("group", "cap", h, q).alias("cell"), "is_home", "node", "copies", "vector")
+        rows.select(F.xxhash64("group", "cap", h, q).alias("cell"), "is_home", "both", "node", "copies", "vector")
         .repartition("cell").sortWithinPartitions("cell")
         .mapInArrow(lambda batches: _verified(batches, similarity), "a long, b long, links long")
     )
