@@ -8,14 +8,16 @@ within reach of it could live in. That list is exact: a partner's block can have
 codeword ``c`` nearest only across the plane halfway between ``c`` and the own
 nearest codeword, so the squared distances to those planes, summed over blocks,
 are at most the squared chord of the similarity. Either of two linked vectors
-thus lists the other's home, so a vector is sent only to the caps from its own
-home on: joining lists with homes meets every linked pair of different homes
-once, and each meeting is verified and counted for both.
+thus lists the other's home, so a vector needs only the caps from its own home
+on: joining lists with homes meets every linked pair of different homes once,
+and each meeting is verified and counted for both.
 
-Equal vectors of a label are one row with a count from the start. Caps with many
-vectors are cut into cells of bounded size, one task compares one cell of homes
-with one of lists, and what it returns is a count and one tree edge per vector,
-not the pairs.
+Caps of a label that follow each other form a region of about ``region``
+vectors, and a vector travels once to each region that holds a cap of its list,
+not once to each cap. Regions with more vectors are cut into cells: one task
+joins the homes of one part with the lists of another, cap by cap, and what it
+returns is a count and one tree edge per vector, not the pairs. Equal vectors of
+a label are one row with a count from the start.
 
 Vectors that are null, all zero, or hold null or non-finite components, and
 vectors without a label, link with nothing: they are returned with no links and
@@ -40,7 +42,7 @@ from roadspark.runtime import written
 
 SIMILARITY = 0.98
 BLOCKS = 2
-HOMES, LISTS = 2048, 4096
+REGION = 8192
 _SEED = 20
 
 
@@ -68,22 +70,29 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def decode(vectors: np.ndarray, words: int, similarity: float, blocks: int = BLOCKS):
-    """Home cap of every unit row, and all (row, cap) its partners may live in."""
+def decode(vectors: np.ndarray, words: int, similarity: float, home: np.ndarray | None = None, blocks: int = BLOCKS):
+    """Home cap of every unit row (if not given), and all (row, cap) its partners may live in."""
     reach = 2 - 2 * similarity + 1e-9
     n = len(vectors)
-    home = np.zeros(n, np.int64)
+    book = codebook(vectors.shape[1], words, blocks)
+    found = np.zeros(n, np.int64)
     row, cap, spent = np.arange(n), np.zeros(n, np.int64), np.zeros(n)
-    for first, code in codebook(vectors.shape[1], words, blocks):
+    for place, (first, code) in enumerate(book):
         inner = vectors[:, first : first + code.shape[1]] @ code.T
-        best = inner.argmax(axis=1)
-        home = home * words + best
+        best = inner.argmax(axis=1) if home is None else home // words ** (len(book) - 1 - place) % words
+        found = found * words + best
         apart = np.linalg.norm(code[best][:, None, :] - code[None, :, :], axis=2)
         plane = (inner[np.arange(n), best][:, None] - inner) / np.where(apart > 0, apart, 1)
         cost = spent[:, None] + plane[row] ** 2
         keep, word = np.nonzero(cost <= reach)
         row, cap, spent = row[keep], cap[keep] * words + word, cost[keep, word]
-    return home, row, cap
+    return found, row, cap
+
+
+def regions_of(size: int, dim: int, words: int, region: int) -> tuple[int, int]:
+    """Number of regions of a group of ``size`` vectors, and of its caps."""
+    caps = words ** min(BLOCKS, dim)
+    return min(caps, -(-size // region)), caps
 
 
 def _matrix(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -98,44 +107,70 @@ def _matrix(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], words: int, similarity: float) -> Iterator[pa.RecordBatch]:
+def _routed(batches: Iterator[pa.RecordBatch], words: int, similarity: float, region: int) -> Iterator[pa.RecordBatch]:
+    """Home, number of regions and listed regions of every vector."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            some = batch.slice(at, 2000)
-            homes, lists = [0] * some.num_rows, [None] * some.num_rows
+        for at in range(0, batch.num_rows, 500):
+            some = batch.slice(at, 500)
+            size = some.column("size").to_numpy()
+            homes, parts = np.zeros(some.num_rows, np.int64), np.zeros(some.num_rows, np.int32)
+            listed = [None] * some.num_rows
             for rows, values in _matrix(some.column("vector")):
                 home, row, cap = decode(unit(values), words, similarity)
-                cuts = np.searchsorted(row, np.arange(1, len(rows)))
-                for r, h, caps in zip(rows.tolist(), home.tolist(), np.split(cap, cuts)):
-                    homes[r], lists[r] = h, caps
+                counts = [regions_of(int(n), values.shape[1], words, region) for n in size[rows]]
+                count, caps = np.array([c for c, _ in counts]), counts[0][1]
+                homes[rows], parts[rows] = home, count
+                onward = cap >= home[row]
+                row, cap = row[onward], cap[onward]
+                pairs = np.unique(row * caps + cap * count[row] // caps)
+                cuts = np.searchsorted(pairs // caps, np.arange(1, len(rows)))
+                for r, some_regions in zip(rows.tolist(), np.split(pairs % caps, cuts)):
+                    listed[r] = some_regions.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*some.columns, pa.array(homes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                names=[*some.schema.names, "home", "caps"],
+                [some.column(c) for c in ("group", "node", "copies", "vector")]
+                + [pa.array(homes), pa.array(parts), pa.array(listed, pa.list_(pa.int32()))],
+                names=["group", "node", "copies", "vector", "home", "parts", "regions"],
             )
 
 
-def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Links between the homes and the lists of each cell; rows come ordered by ``cell``."""
-
-    def found(home, both, node, copies, vectors):
-        of_home, of_list = np.flatnonzero(home), np.flatnonzero(~home)
-        root, count = np.arange(len(node)), np.zeros(len(node), np.int64)
+def links_of_cell(home, parts, region, as_home, as_list, node, copies, vectors, words, similarity):
+    """Rows of one cell that are linked, their smallest row by links, and the number of links found here."""
+    root, count = np.arange(len(node)), np.zeros(len(node), np.int64)
+    caps = words ** min(BLOCKS, vectors.shape[1])
+    lists, rows_by_cap = np.flatnonzero(as_list), []
+    for at in range(0, len(lists), 500):
+        some = lists[at : at + 500]
+        _, row, cap = decode(vectors[some], words, similarity, home[some])
+        here = (cap >= home[some][row]) & (cap * parts // caps == region)
+        rows_by_cap.append(np.stack([cap[here], some[row[here]]]))
+    if not rows_by_cap:
+        return root, count
+    cap, listed = np.concatenate(rows_by_cap, axis=1)
+    order = np.argsort(cap, kind="stable")
+    cap, listed = cap[order], listed[order]
+    homes = np.flatnonzero(as_home)
+    homes = homes[np.argsort(home[homes], kind="stable")]
+    for c in np.unique(home[homes]):
+        of_home = homes[slice(*np.searchsorted(home[homes], [c, c + 1]))]
+        of_list = listed[slice(*np.searchsorted(cap, [c, c + 1]))]
         target = vectors[of_home].T
         for at in range(0, len(of_list), 512):
             rows = of_list[at : at + 512]
             near = vectors[rows] @ target >= similarity
             near &= node[rows][:, None] != node[of_home][None, :]
-            count[rows] = near @ copies[of_home]
+            if not near.any():
+                continue
+            count[rows] += near @ copies[of_home]
             # Two of one home meet from either side, two of different homes only here.
-            lower = both[rows]
+            lower = home[rows] < c
             count[of_home] += copies[rows[lower]] @ near[lower]
             a, b = np.nonzero(near)
             merge(root, rows[a], of_home[b])
-        keep = np.flatnonzero((count > 0) | (root != np.arange(len(node))))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(node[keep]), pa.array(node[root[keep]]), pa.array(count[keep])], names=["a", "b", "links"]
-        )
+    return root, count
 
+
+def _verified(batches: Iterator[pa.RecordBatch], words: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links between the homes and the lists of each cell; rows come ordered by ``cell``."""
     held: list[pa.RecordBatch] = []
     for batch in _and_last(batches):
         if batch is not None:
@@ -151,13 +186,19 @@ def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
         cuts = np.flatnonzero(np.diff(cell[:done])) + 1
         for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), done]):
             own = whole.slice(i, j - i)
-            home = own["is_home"].to_numpy()
-            if home.all() or not home.any():
-                continue
-            node, copies, both = (own[c].to_numpy() for c in ("node", "copies", "both"))
-            # A cell has vectors of one length only.
+            home, as_home, as_list, node, copies = (
+                own[c].to_numpy() for c in ("home", "as_home", "as_list", "node", "copies")
+            )
+            # A cell has vectors of one length, and of one region, only.
             ((_, values),) = _matrix(own["vector"].combine_chunks())
-            yield found(home, both, node, copies, unit(values))
+            parts, region = own["parts"][0].as_py(), own["region"][0].as_py()
+            root, count = links_of_cell(
+                home, parts, region, as_home, as_list, node, copies, unit(values), words, similarity
+            )
+            keep = np.flatnonzero((count > 0) | (root != np.arange(len(node))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[keep]), pa.array(node[root[keep]]), pa.array(count[keep])], names=["a", "b", "links"]
+            )
         held = rows.slice(done).to_batches()
 
 
@@ -174,13 +215,13 @@ def _takes_part(vector: str) -> Column:
 
 
 def near_duplicates(
-    embeddings: DataFrame, similarity: float = SIMILARITY, homes: int = HOMES, lists: int = LISTS,
-    words: int | None = None,
+    embeddings: DataFrame, similarity: float = SIMILARITY, region: int = REGION, words: int | None = None
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row.
 
-    ``homes`` and ``lists`` bound the cells that one task compares, ``words`` the
-    codewords per block (by the number of vectors if not given).
+    ``region`` is the number of vectors that a region should have and that a part
+    of a cell has at most, ``words`` the codewords per block (by the number of
+    vectors if not given).
     """
     # Single precision travels as it is and is widened where it is compared.
     single = isinstance(getattr(embeddings.schema["embedding"].dataType, "elementType", None), FloatType)
@@ -190,20 +231,15 @@ def near_duplicates(
     # The zero's sign must not tell equal vectors apart.
     plain = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     table = table.withColumn("node", F.when(F.col("part"), F.xxhash64("label", F.size("vector"), plain)))
-    valid = table.where("part")
-    if words is None:
-        words = codewords(valid.count())
-    distinct = valid.groupBy("node").agg(
-        F.count("*").alias("copies"), F.first("vector").alias("vector"), F.first("label").alias("label")
-    )
-    decoded = written(
-        distinct.select("node", "copies", "vector", F.xxhash64("label", F.size("vector")).alias("group")).mapInArrow(
-            lambda batches: _decoded(batches, words, similarity),
-            f"node long, copies long, vector {kind}, group long, home long, caps array<long>",
-        ),
-        "caps",
+    distinct = written(
+        table.where("part").groupBy("node").agg(
+            F.count("*").alias("copies"), F.first("vector").alias("vector"), F.first("label").alias("label")
+        ).select("node", "copies", "vector", F.xxhash64("label", F.size("vector")).alias("group")),
+        "cap-vectors",
     )
-    met = written(_meetings(decoded, homes, lists, similarity), "cap-links")
+    if words is None:
+        words = codewords(distinct.count())
+    met = written(_meetings(distinct, region, words, similarity, kind), "cap-links")
     counts = met.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     roots = components(met)
     named = distinct.select("node", "copies").join(counts, "node", "left").join(roots, "node", "left")
@@ -218,29 +254,36 @@ def near_duplicates(
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _meetings(decoded: DataFrame, homes: int, lists: int, similarity: float) -> DataFrame:
+def _meetings(distinct: DataFrame, region: int, words: int, similarity: float, kind: str) -> DataFrame:
     """Counts and tree edges of all cells."""
-    at_home = decoded.select("group", F.col("home").alias("cap"), "node", "copies", "vector").withColumn("is_home", F.lit(True)).withColumn("both", F.lit(False))
-    onward = F.explode(F.filter("caps", lambda cap: cap >= F.col("home"))).alias("cap")
-    listed = decoded.select("group", onward, "node", "copies", "vector", F.lit(False).alias("is_home"), "home")
-    listed = listed.withColumn("both", F.col("cap") > F.col("home")).drop("home")
-    sizes = (
-        at_home.groupBy("group", "cap").agg(F.count("*").alias("h"))
-        .join(listed.groupBy("group", "cap").agg(F.count("*").alias("q")), ["group", "cap"])
-    )
-    sizes = sizes.select(
-        "group", "cap", F.ceil(F.col("h") / homes).cast("int").alias("h"), F.ceil(F.col("q") / lists).cast("int").alias("q")
+    # Sizes are written before they are joined, so that the planner knows whether they can be broadcast.
+    groups = written(distinct.groupBy("group").agg(F.count("*").alias("size")), "cap-groups")
+    routed = written(
+        distinct.join(groups, "group").select("group", "node", "copies", "vector", "size").mapInArrow(
+            lambda batches: _routed(batches, words, similarity, region),
+            f"group long, node long, copies long, vector {kind}, home long, parts int, regions array<int>",
+        ),
+        "caps",
     )
-    rows = at_home.unionByName(listed).join(sizes, ["group", "cap"])
-    own = F.pmod(F.hash("node"), F.when(F.col("is_home"), F.col("h")).otherwise(F.col("q")))
-    other = F.explode(F.sequence(F.lit(0), F.when(F.col("is_home"), F.col("q")).otherwise(F.col("h")) - 1))
-    rows = rows.withColumn("own", own).withColumn("other", other)
-    h = F.when(F.col("is_home"), F.col("own")).otherwise(F.col("other"))
-    q = F.when(F.col("is_home"), F.col("other")).otherwise(F.col("own"))
+    rows = routed.select("group", "node", "copies", "vector", "home", "parts", F.explode("regions").alias("region"))
+    sizes = written(rows.groupBy("group", "region").agg(F.ceil(F.count("*") / region).cast("int").alias("k")), "cap-sizes")
+    rows = rows.join(sizes, ["group", "region"]).withColumn("own", F.pmod(F.hash("node"), "k"))
+    # The first list of a vector is in its home's region.
+    caps = F.pow(F.lit(words), F.least(F.lit(BLOCKS), F.size("vector"))).cast("long")
+    rows = rows.withColumn("at_home", F.col("region") == F.floor(F.col("home") * F.col("parts") / caps).cast("int"))
+    others = F.sequence(F.lit(0), F.col("k") - 1)
+    as_lists = F.transform(others, lambda i: i * F.col("k") + F.col("own"))
+    as_homes = F.transform(others, lambda j: F.col("own") * F.col("k") + j)
+    cells = F.when(F.col("at_home"), F.array_union(as_lists, as_homes)).otherwise(as_lists)
+    rows = rows.withColumn("at", F.explode(cells))
     return (
-        rows.select(F.xxhash64("group", "cap", h, q).alias("cell"), "is_home", "both", "node", "copies", "vector")
+        rows.select(
+            F.xxhash64("group", "region", "at").alias("cell"), "region", "parts", "home",
+            (F.col("at_home") & (F.floor(F.col("at") / F.col("k")) == F.col("own"))).alias("as_home"),
+            (F.col("at") % F.col("k") == F.col("own")).alias("as_list"), "node", "copies", "vector",
+        )
         .repartition("cell").sortWithinPartitions("cell")
-        .mapInArrow(lambda batches: _verified(batches, similarity), "a long, b long, links long")
+        .mapInArrow(lambda batches: _verified(batches, words, similarity), "a long, b long, links long")
     )
 
 

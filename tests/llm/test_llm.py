@@ -120,7 +120,8 @@ def test_blocks_are_decoded_and_trimmed():
 # ---- embedding near-duplicates
 
 
-def test_caps_find_every_link(spark):
+@pytest.mark.parametrize("region,words", [(8192, None), (60, 4), (9, 8)])
+def test_caps_find_every_link(spark, region, words):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 12))
     near = np.concatenate([b + rng.normal(size=(6, 12)) * rng.choice([0.1, 0.2, 0.25]) for b in base])
@@ -128,7 +129,7 @@ def test_caps_find_every_link(spark):
     rows = [(i, [float(x) for x in v], int(i % 2 if i % 5 else 0)) for i, v in enumerate(vectors)]
     rows += [(1000, None, 0), (1001, [0.0] * 12, 0), (1002, [float("inf")] * 12, 0), (1003, rows[0][1], None), (1004, [1.0, 0.0], 0)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("node", F.lit(1))
-    got = {r.vec_id: (r.n_links, r.component_id) for r in caps.near_duplicates(table, homes=8, lists=16).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in caps.near_duplicates(table, region=region, words=words).collect()}
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     label = np.array([r[2] for r in rows[: len(vectors)]])
     linked = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
