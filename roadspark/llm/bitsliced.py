@@ -31,7 +31,7 @@ K = 20
 SCALE = 64
 EVERY = 20
 BLOCK = 1 << 15
-QUERIES = 256
+QUERIES = 1024
 _LARGEST = 1 << 24
 
 
@@ -168,7 +168,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, name: str) -> Iterator
     lists: list = []
 
     def packed(n: int) -> pa.RecordBatch:
-        values = _matrix(lists[:n]).astype(np.int32)
+        values = _matrix(lists[:n])
+        # As few bytes as hold them; the reader tells their number from the lengths.
+        values = values.astype(np.promote_types(*(np.result_type(np.int8, np.min_scalar_type(x)) for x in (values.min(), values.max()))))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([np.asarray(ids[:n], np.int64).tobytes()]), pa.array([values.tobytes()]),
@@ -197,8 +199,9 @@ def blocks(rows: DataFrame, size: int, name: str, total: int) -> DataFrame:
 
 def _unpacked(row: dict, name: str) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(row[f"{name}_ids"], np.int64)
-    values = np.frombuffer(row[f"{name}_values"], np.int32).astype(np.int64)
-    return ids, values.reshape(len(ids), row[f"{name}_width"])
+    width = row[f"{name}_width"]
+    values = np.frombuffer(row[f"{name}_values"], f"i{len(row[f'{name}_values']) // (len(ids) * width)}")
+    return ids, values.astype(np.int64).reshape(len(ids), width)
 
 
 def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -229,9 +232,11 @@ def top_k(
     asked = rows.where(queries)
     index = blocks(rows, block, "block", rows.count())
     questions = blocks(asked, group, "query", asked.count())
-    numbers = [r[0] for r in questions.select("query").collect()]  # one number per block of queries
-    pairs = index.withColumn("query", F.explode(F.lit(numbers).cast("array<long>"))).join(questions, "query")
-    pairs = pairs.repartition("block", "query")
+    # One number per block reaches the driver. Either side is dealt to its pairs in one shuffle, which
+    # spreads them over tasks; a broadcast would leave all pairs of a block of rows to one.
+    every = [F.explode(F.lit([r[0] for r in side.select(name).collect()]).cast("array<long>")).alias(name)
+             for side, name in ((index, "block"), (questions, "query"))]
+    pairs = index.select("*", every[1]).join(questions.select("*", every[0]).hint("merge"), ["block", "query"])
     best = pairs.mapInArrow(lambda b: _searched(b, k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.dropDuplicates().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
