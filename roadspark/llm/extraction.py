@@ -358,9 +358,19 @@ def rebuilt(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], l
 
 
 def training_sample(pages: DataFrame, n: int = SAMPLE, longest: int = LONGEST) -> list[str]:
-    """The pages whose ids have the smallest hashes, of those up to ``longest`` bytes."""
+    """One page of each of the ``n`` ids with the smallest hashes, of the pages up to ``longest`` bytes.
+
+    Ids are chosen first, so that no more than ``n`` pages reach the driver from
+    however many partitions; of pages that share an id the smallest is taken.
+    """
     rows = pages.where(F.col("html").isNotNull() & (F.octet_length("html") <= longest)).select("page_id", F.col("html").cast("string").alias("html"))
-    return [r["html"] for r in rows.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(n).collect()]
+    order = (F.xxhash64("page_id"), F.col("page_id"))
+    ids = [r[0] for r in rows.select("page_id").distinct().orderBy(*order).limit(n).collect()]
+    chosen = F.col("page_id").isin([i for i in ids if i is not None])
+    if None in ids:
+        chosen = chosen | F.col("page_id").isNull()
+    found = {r["page_id"]: r["html"] for r in rows.where(chosen).groupBy("page_id").agg(F.min("html").alias("html")).collect()}
+    return [found[i] for i in ids if i in found]
 
 
 def fit(pages: DataFrame, n: int = SAMPLE, longest: int = LONGEST) -> BlockLabeller:

@@ -97,6 +97,10 @@ def test_top_k_equals_sorting(spark):
 
 def test_extraction_reads_pages(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    odd_ids = pages.unionByName(pages.limit(3)).unionByName(pages.limit(2).withColumn("page_id", F.lit(None).cast("long")))
+    by_id = {r.page_id: r.html for r in pages.collect()}
+    assert set(extraction.training_sample(pages, 20)) <= set(by_id.values()) and len(extraction.training_sample(pages, 20)) == 20
+    assert len(extraction.training_sample(odd_ids, 10**6)) == len(by_id) + 1
     labeller = extraction.fit(pages)
     for row in extraction.extract(pages, labeller).join(pages, ["page_id", "url"]).collect():
         article = row.html[row.html.index("<article"):row.html.index("</article>")]
