@@ -12,6 +12,9 @@ other; null ids take part but name no component unless all of its ids are null;
 repeated rows are returned as often as they come; an empty table gives an empty
 result; columns other than ``doc_id`` and ``text`` are ignored. A very long text
 is held by one worker.
+
+``near_copies`` and ``one_of_each`` compare texts, not fingerprints: two rows
+belong together only through pairs whose sets of shingles are similar.
 """
 
 from __future__ import annotations
@@ -34,7 +37,13 @@ WORDS = 4
 DISTANCE = 4
 BLOCKS = 6
 CELL = 1024
+SIMILARITY = 0.8
+# Texts that are 0.8 alike share none of 32 bands of 4 minima with probability (1 - 0.8 ** 4) ** 32, 5e-8.
+BANDS, ROWS = 32, 4
 _SEED = 42
+_RANDOM = np.random.default_rng(_SEED).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
+_FLIP, _ODD = _RANDOM[0], _RANDOM[1] | np.uint64(1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -48,22 +57,30 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """64-bit SimHash of a text's word shingles, repeats included."""
+def _hashes(text: str, words: int) -> np.ndarray:
+    """Hashes of a text's word shingles, repeats included."""
     found = _WORD.findall(text.encode("utf-8").translate(_LOWER))
     if not found:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(found)
+    digest = xxhash.xxh64_intdigest
     if len(found) <= words:
-        return xxhash.xxh64_intdigest(joined, _SEED)
+        return np.array([digest(joined, _SEED)], np.uint64)
     ends = np.cumsum([len(w) + 1 for w in found])
     starts = np.concatenate(([0], ends[:-words])).tolist()
     stops = (ends[words - 1 :] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[i:j], _SEED) for i, j in zip(starts, stops)], np.uint64)
+    return np.array([digest(joined[i:j], _SEED) for i, j in zip(starts, stops)], np.uint64)
+
+
+def _print(hashes: np.ndarray) -> int:
     return int(np.packbits(_bits(hashes) * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """64-bit SimHash of a text's word shingles, repeats included."""
+    return _print(_hashes(text, words))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = [fingerprint(t, words) for t in batch.column(2).to_pylist()]
@@ -165,12 +182,156 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, **parameters) -> DataFr
     )
 
 
+# ---- verified near copies ------------------------------------------------------------------------
+
+
+def shingles(text: str, words: int = WORDS) -> np.ndarray:
+    """Distinct hashes of a text's word shingles; a shorter text is one shingle, a blank one has none."""
+    return np.unique(_hashes(text, words))
+
+
+def _band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key per band of minima; sets of similarity s share a given one with probability s ** ROWS."""
+    if not len(hashes):
+        return np.empty(0, np.uint64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        mixed = (hashes[at : at + 2048, None] ^ _FLIP) * _ODD
+        np.minimum(least, mixed.min(axis=0), out=least)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * _STEP
+        keys ^= keys >> np.uint64(29)
+    return keys
+
+
+def _described(batches: Iterator[pa.RecordBatch], words: int, banded: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        node, n, prints, keys = [], [], [], []
+        for text in batch.column(2).to_pylist():
+            hashes = _hashes(text, words)
+            distinct = np.unique(hashes)
+            node.append(xxhash.xxh64_intdigest(distinct.tobytes(), _SEED) if len(distinct) else 0)
+            n.append(len(distinct))
+            prints.append(_print(hashes))
+            keys.append(_band_keys(distinct).view(np.int64) if banded else [])
+        signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, prints)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), signed[0], pa.array(n, pa.int32()), signed[1], pa.array(keys, pa.list_(pa.int64()))],
+            names=["doc_id", "row", "node", "n", "print", "keys"],
+        )
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            some = batch.slice(at, 64)
+            sets = [shingles(t, words).view(np.int64) for t in some.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+
+
+def _alike(least: np.ndarray, most: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of these sizes can be as similar as that."""
+    return np.minimum(least, most) >= similarity * np.maximum(least, most) - 1e-9
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], similarity: float, distance: int, neighbours: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of one cell and of different roots: neighbours only, or all; rows come ordered by ``cell``, size and node."""
+
+    def found(cell, node, n, prints, root) -> Iterator[pa.RecordBatch]:
+        left = np.arange(len(cell) - 1)
+        shift = 1
+        while len(left):
+            left = left[left + shift < len(cell)]
+            left = left[cell[left] == cell[left + shift]]
+            right = left + shift
+            good = (root[left] != root[right]) & (node[left] != node[right]) & _alike(n[left], n[right], similarity)
+            good &= np.bitwise_count(prints[left] ^ prints[right]) <= distance
+            a, b = node[left[good]], node[right[good]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+            shift += 1
+            if neighbours:
+                return
+
+    held = [np.empty(0, np.int64) for _ in range(5)]
+    for batch in batches:
+        held = [np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip(held, batch.columns)]
+        done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last cell may go on in the next batch
+        if done:
+            yield from found(*[h[:done] for h in held])
+            held = [h[done:] for h in held]
+    if len(held[0]):
+        yield from found(*held)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose sets are as similar as that: shared shingles over all shingles of both."""
+    one = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
+    two = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    both = pairs.distinct().join(one.hint("merge"), "a").join(two.hint("merge"), "b")
+    sizes = F.size("x") + F.size("y")
+    return (
+        both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), sizes.alias("sizes"))
+        .where(F.col("common") >= F.lit(similarity) * (F.col("sizes") - F.col("common")) - F.lit(1e-9)).select("a", "b")
+    )
+
+
+def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, distance: int | None = None, blocks: int = BLOCKS, cell: int = CELL) -> DataFrame:
+    """doc_id, row key and ``root`` of every row: rows of one root are connected by texts of that similarity.
+
+    Similarity is that of the sets of distinct shingles, and every link is verified on whole sets. Candidates share
+    a band of minima, by default, or lie within ``distance`` bits and share a SimHash key. Neighbours of each cell are
+    verified first, then all of its pairs that are not connected by then, so that large groups of copies need few pairs.
+    """
+    banded = distance is None
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = written(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), text).mapInArrow(
+            lambda batches: _described(batches, words, banded),
+            "doc_id long, row long, node long, n int, print long, keys array<long>",
+        ),
+        "shingle-keys",
+    )
+    # Rows of a node have equal sets, hence equal keys of minima; their prints may differ, as prints count repeats.
+    by = ["node"] if banded else ["node", "print"]
+    keys = F.col("keys") if banded else block_keys(distance, blocks)
+    keyed = rows.dropDuplicates(by).select("node", F.col("n").cast("long").alias("n"), "print", F.explode(keys).alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n_key")).where("n_key > 1")
+    cells = F.ceil(F.col("n_key") / cell).cast("int")
+    own = F.pmod(F.hash("node", "print"), cells)
+    other = F.explode(F.sequence(F.lit(0), cells - 1))
+    spread = keyed.join(sizes.hint("merge"), "key").select("node", "n", "print", "key", own.alias("own"), other.alias("other"))
+    cell_of = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    placed = written(spread.select(cell_of.alias("cell"), "node", "n", "print"), "shingle-cells")
+
+    reach = 64 if banded else distance
+
+    def pairs(rooted: DataFrame, neighbours: bool) -> DataFrame:
+        return rooted.repartition("cell").sortWithinPartitions("cell", "n", "node").mapInArrow(
+            lambda batches: _candidates(batches, similarity, reach, neighbours), "a long, b long"
+        )
+
+    wanted = placed.select("node").distinct()
+    holders = rows.join(wanted, "node").groupBy("node").agg(F.min("row").alias("row"))
+    held = docs.select(_row_key().alias("row"), text.alias("text")).join(holders, "row").dropDuplicates(["node"])
+    sets = written(held.select("node", "text").mapInArrow(lambda batches: _shingled(batches, words), "node long, set array<long>"), "shingle-sets")
+
+    near = written(_verified(pairs(placed.withColumn("root", F.col("node")), True), sets, similarity), "near-links")
+    roots = components(near)
+    rooted = placed.join(roots, "node", "left").select("cell", "node", "n", "print", F.coalesce("root", "node").alias("root"))
+    rest = written(_verified(pairs(rooted, False), sets, similarity), "far-links")
+    grouped = components(near.unionByName(rest))
+    return rows.select("doc_id", "row", "node").join(grouped, "node", "left").select(
+        "doc_id", "row", F.coalesce("root", "node").alias("root")
+    )
+
+
 def one_of_each(docs: DataFrame, words: int = WORDS, **parameters) -> DataFrame:
-    """``docs`` with one row of each class: that of the smallest id, null first, then the smallest row key."""
-    prints = written(fingerprints(docs, words), "prints")
-    rows = prints.join(classes(prints, **parameters), "print")
+    """``docs`` with one row of each group of near copies: that of the smallest id, null first, then the smallest row key."""
+    rows = written(near_copies(docs, words, **parameters), "near-copies")
     chosen = rows.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("one")).select(F.col("one.row").alias("row"))
-    times = prints.groupBy("row").agg(F.count("*").alias("times"))
+    times = rows.groupBy("row").agg(F.count("*").alias("times"))
     chosen = written(chosen.join(times, "row"), "chosen")
     kept = packed(docs, _row_key().alias("row")).join(chosen, "row")
     if not chosen.where("times > 1").isEmpty():

@@ -219,6 +219,29 @@ def test_simhash_edges(edges, nothing):
     assert simhash.one_of_each(nothing).count() == simhash.near_duplicates(nothing).count() == 0
 
 
+def plain_similarity(a, b, words=5):
+    def sets(text):
+        found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        return {" ".join(found[i : i + words]) for i in range(len(found) - words + 1)} or ({" ".join(found)} if found else set())
+
+    x, y = sets(a), sets(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_rows_fall_only_through_like_texts(spark):
+    """Unlike texts whose fingerprints are as close as asked for; both stay."""
+    one = "a b c d e f g h i j"
+    rng, seen = np.random.default_rng(8), simhash.fingerprint(one, 5)
+    words = list("klmnopqrstuvwxyz")
+    other = min((" ".join(rng.choice(words, 7)) for _ in range(20_000)), key=lambda t: (simhash.fingerprint(t, 5) ^ seen).bit_count())
+    distance = (simhash.fingerprint(other, 5) ^ seen).bit_count()
+    assert plain_similarity(one, other) == 0
+    table = spark.createDataFrame([(1, one), (2, other), (3, one)], "doc_id long, text string")
+    kept = simhash.one_of_each(table, words=5, distance=distance, blocks=distance + 2)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+
 # ---- automaton
 
 
