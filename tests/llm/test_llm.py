@@ -11,6 +11,7 @@ from checking import database, differences
 from conftest import DATA
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from roadspark.llm import (
     bitsliced, bpe_automaton, caps, components, extraction, packing, pii, quality, queries, repeats, sharding, simhash,
 )
@@ -242,6 +243,30 @@ def test_rows_fall_only_through_like_texts(spark):
 
 
 
+@pytest.mark.parametrize("cell", [3, 1024])
+def test_near_copies_equal_brute_force(spark, texts, cell):
+    rng = np.random.default_rng(9)
+    rows = dict(texts)
+    for k, i in enumerate(sorted(texts)[:60]):
+        found = (texts[i] or "").split()[:120]
+        for copy in range(3):  # edits of a few words of short and mid-length texts
+            edited = list(found)
+            for at in rng.integers(0, max(len(found), 1), 1 + copy) if found else ():
+                edited[at] = f"edit{copy}"
+            rows[10**6 + 10 * k + copy] = " ".join(edited)
+    ids = sorted(rows)
+    table = spark.createDataFrame([(i, rows[i]) for i in ids], "doc_id long, text string")
+    root = np.arange(len(ids))
+    sets = [set(simhash.shingles(rows[i] or "", 5).tolist()) for i in ids]
+    near = [(x, y) for x in range(len(ids)) for y in range(x) if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])]
+    assert sum(plain_similarity(rows[ids[x]], rows[ids[y]]) >= 0.8 for x, y in near[:200]) == len(near[:200])
+    components.merge(root, *np.array(near).T)
+    want = {ids[k] for k in np.unique(root)}
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"] if cell == 1024 else lambda s, t, d: simhash.one_of_each(t, words=5, cell=cell)
+    assert {r.doc_id for r in stage(spark, table, DATA).collect()} == want
+
+
+
 # ---- automaton
 
 
