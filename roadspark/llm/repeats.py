@@ -76,8 +76,9 @@ def anchors(data: np.ndarray, valid: np.ndarray, powers: _Powers, window: int, g
     order = grams ^ (grams >> np.uint64(32))
     order *= np.uint64(0xD6E8FEB86659FD93)
     order ^= order >> np.uint64(29)
-    place = np.arange(len(order), dtype=np.uint64) & np.uint64(0xFFFF)
-    least = (order & ~np.uint64(0xFFFF)) | place
+    # Of equal grams the leftmost wins, so the low bits hold the whole place.
+    low = np.uint64((1 << n.bit_length()) - 1)
+    least = (order & ~low) | np.arange(len(order), dtype=np.uint64)
     width, span = 1, window - gram + 1
     while 2 * width <= span:
         least = np.minimum(least[: len(least) - width], least[width:])
@@ -87,8 +88,7 @@ def anchors(data: np.ndarray, valid: np.ndarray, powers: _Powers, window: int, g
     start = np.flatnonzero(valid[: len(least)])
     if not len(start):
         return start, start, np.empty(0, np.uint64)
-    low = least[start] & np.uint64(0xFFFF)
-    anchor = start + ((low.astype(np.int64) - start) & 0xFFFF)
+    anchor = (least[start] & low).astype(np.int64)
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(new)

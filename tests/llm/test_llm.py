@@ -333,6 +333,16 @@ def test_repeats_inside_and_across_pieces(spark, monkeypatch):
     assert [tuple(r)[1:] for r in sorted(repeats.removal_report(table).collect())] == plain_removal(texts)
 
 
+@pytest.mark.parametrize("before", [65536 - 186, 65536 - 150, 65536 - 100])
+def test_lone_run_across_65536(spark, before):
+    """Equal grams on both sides of a multiple of 65536; the run stands nowhere else."""
+    rng = np.random.default_rng(10)
+    word = lambda n: "".join(rng.choice(list("abcde "), n))
+    texts = [word(before) + "-" * 250 + word(300)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [tuple(r)[1:] for r in repeats.removal_report(table).collect()] == plain_removal(texts)
+
+
 def test_suffix_order_is_that_of_sorting():
     data = np.random.default_rng(7).integers(97, 99, 3000).astype(np.uint8)
     raw = data.tobytes()
