@@ -2,15 +2,16 @@
 
 Generators of high recall propose spans that may overlap. Format and context of
 a candidate become a few small numbers. Boosted trees are fitted on the counts
-of every distinct feature row of the corpus, with the checks that the base
-patterns carry (checksum, ranges, digit counts) as labels, and turned into a
-column expression, so scoring stays inside the row: nothing is shuffled. A
-threshold per kind is calibrated on held-out documents.
+of every distinct feature row of the corpus and turned into a column expression,
+so scoring stays inside the row: nothing is shuffled. Labels are the checks that
+the base patterns carry (checksum, ranges, digit counts) and rules of format and
+context for the wider spellings. A threshold per generator is calibrated on
+held-out documents.
 
 Base spans are always kept; a generated span is added when it touches none of
-them and scores at or above its kind's threshold. Null and empty texts have no
+them and scores at or above its generator's threshold. Null and empty texts have no
 spans, repeated rows give equal rows, an empty table gives an empty one (and no
-model), null ids stay null, and columns other than ``doc_id`` and ``text`` are
+trees), null ids stay null, and columns other than ``doc_id`` and ``text`` are
 ignored or, by ``redact``, passed through. Positions are code points. Very long
 texts stay in their row.
 """
@@ -40,22 +41,23 @@ BASE = {
 # What the base patterns leave out: spelled-out addresses, numbers without a plus, other separators.
 WIDER = {
     "email": _HEAD.format("A-Za-z0-9._%+-")
-    + r"[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
-    "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[./_ ][0-9]{4}){3}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z])(?:00[1-9][0-9]{0,2}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    + r"[A-Za-z0-9._%+-]++ ?(?i:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?i:\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:[0-9A-Fa-f]{1,4})?(?![0-9A-Za-z:])",
+    "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[./_ ][0-9]{4}){3}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+])(?<![0-9][-./])(?:00[1-9][0-9]{0,2}[ .-]?|1[ .-])?(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ ./-])[0-9]{2,8}(?:[ ./-][0-9]{2,8}){0,3}(?![0-9A-Za-z])",
 }
 # What a text must hold for a pattern to match anywhere.
 NEEDS = {
-    ("email", True): "@", ("email", False): r"[(\[{]at[)\]}]", ("ip", True): r"[0-9]\.[0-9]",
-    ("ip", False): "[0-9A-Fa-f]:[0-9A-Fa-f]", ("card", True): "[0-9][ -]?[0-9]", ("card", False): "[0-9]{4}[./_ ][0-9]{4}",
-    ("phone", True): r"\+[0-9]", ("phone", False): "[0-9][ .-][0-9]{4}",
+    ("email", True): "@", ("email", False): r"(?i)[(\[{]at[)\]}]", ("ip", True): r"[0-9]\.[0-9]",
+    ("ip", False): "[0-9A-Fa-f]:[0-9A-Fa-f:]", ("card", True): "[0-9][ -]?[0-9]", ("card", False): "[0-9]{4}[./_ ][0-9]{4}",
+    ("phone", True): r"\+[0-9]", ("phone", False): r"[0-9]\)?[ ./-]?[0-9]{2}",
 }
 FEATURES = [
     "kind", "digits", "separators", "groups", "plus", "bracket", "same_digits", "checksum", "octets",
-    "left", "right", "hint", "dots", "size",
+    "left", "right", "hint", "dots", "size", "wide", "format", "calls",
 ]
 _HINTS = r"(?i)(mail|contact|write|card|visa|credit|kart|carte|tarjeta|phone|tel|call|fax|ip|host|addr|server)"
+_CALLS = r"(?i)(?<![a-z])(phone|telephone|tel|call|fax|mobile|cell)"
 # Documents of this remainder calibrate the thresholds and are not fitted on.
 HELD_OUT, FOLDS = 0, 5
 PRECISION = 0.9
@@ -135,6 +137,37 @@ def _valid(x: Column) -> Column:
     )
 
 
+def _format(x: Column) -> Column:
+    """2 if a candidate's own form is proof enough, 1 if it needs context, 0 if the form is wrong."""
+    hit = x["hit"]
+    digits = _digits(hit)
+    n = F.length(digits)
+    groups = F.size(F.filter(F.split(hit, ":"), lambda g: g != ""))
+    folded = (F.size(F.split(hit, "::")) == 2) & ~hit.contains(":::") & ~hit.rlike("^:[^:]") & ~hit.rlike("[^:]:$")
+    address = F.when(hit.contains("::"), folded & groups.between(2, 7) & hit.rlike("^[0-9A-Fa-f]{3,4}:")).otherwise(
+        (groups == 8) & ~hit.rlike("^:|:$")
+    ) & hit.rlike("[0-9]")
+    american = hit.rlike(r"^(?:1[ .-])?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-][0-9]{4}$")
+    plain = hit.rlike(r"^(?:1([.-]))?[2-9][0-9]{2}([.-])[2-9][0-9]{2}\2[0-9]{4}$") | (american & hit.contains("("))
+    abroad = hit.rlike(r"^00[1-9]") & n.between(9, 17)
+    trunk = hit.rlike(r"^\(?0[1-9]") & n.between(9, 12)
+    phone = F.when(plain | abroad, 2).when(american | trunk, 1).otherwise(0)
+    wider = (
+        F.when(x["kind"] == 0, F.when(hit.rlike(r"(?:[)\]}] ?|\.)[A-Za-z]{2,}$"), 2).otherwise(0))
+        .when(x["kind"] == 1, F.when(address, 2).otherwise(0))
+        .when(x["kind"] == 2, F.when(_luhn(digits), 2).otherwise(0))
+        .otherwise(phone)
+    )
+    return F.when(x["base"], F.when(_valid(x), 2).otherwise(0)).otherwise(wider)
+
+
+def _label(x: Column) -> Column:
+    """Whether format and context make a candidate personal data: 1 or 0."""
+    form = _format(x)
+    context = x["left"].rlike(_CALLS) | x["hit"].contains("(")
+    return F.when((form == 2) | ((form == 1) & context), 1).otherwise(0)
+
+
 def _features(x: Column) -> dict[str, Column]:
     """Small numbers that describe a candidate's format and context."""
     hit, digits = x["hit"], _digits(x["hit"])
@@ -157,6 +190,9 @@ def _features(x: Column) -> dict[str, Column]:
         "hint": flag(x["left"].rlike(_HINTS)),
         "dots": capped(F.length(F.regexp_replace(hit, "[^.]", "")), 4),
         "size": capped(F.floor(F.length(hit) / 4).cast("int"), 10),
+        "wide": flag(~x["base"]),
+        "format": _format(x),
+        "calls": flag(x["left"].rlike(_CALLS)),
     }
     return {name: F.coalesce(values[name], F.lit(0)).cast("int").alias(name) for name in FEATURES}
 
@@ -183,16 +219,15 @@ def feature_counts(docs: DataFrame) -> DataFrame:
 
     Features are small bounded numbers, so there are few rows whatever the size
     of the corpus, and they are summed before they are shuffled. A base match is
-    positive if it passes its check. A wider candidate is positive if it lies on
-    a valid base span of its kind.
+    positive if it passes its check, a wider candidate if format and context
+    speak for it. Candidates that touch a valid base span can never be added and
+    are left out.
     """
     side = (F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == HELD_OUT).alias("held_out")
-    on_base = lambda x: F.exists(
-        "_base", lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"])
-    )
+    free = F.filter("_wider", lambda x: ~_touches(x, F.col("_base")))
     labelled = F.concat(
         F.transform("_base", lambda x: F.struct(x.alias("x"), F.lit(1).alias("label"))),
-        F.transform("_wider", lambda x: F.struct(x.alias("x"), F.when(on_base(x), 1).otherwise(0).alias("label"))),
+        F.transform(free, lambda x: F.struct(x.alias("x"), _label(x).alias("label"))),
     )
     rows = candidates(docs.select("doc_id", "text")).where((F.size("_base") > 0) | (F.size("_wider") > 0)).select(side, F.explode(labelled).alias("c"))
     features = list(_features(F.col("c.x")).values())
@@ -203,7 +238,10 @@ def feature_counts(docs: DataFrame) -> DataFrame:
 
 
 class CandidateModel:
-    """Boosted trees over candidate features, as an expression, and a threshold per kind."""
+    """Boosted trees over candidate features, as an expression, and a threshold per generator.
+
+    Without trees, the labels' own rules decide.
+    """
 
     def __init__(self, trees: list[tuple[float, dict]], thresholds: dict[int, float]):
         self.trees = trees
@@ -223,16 +261,22 @@ class CandidateModel:
         return reduce(lambda a, b: a + b, [F.lit(weight) * branch(tree) for weight, tree in self.trees])
 
     def accepts(self, x: Column) -> Column:
-        """Whether a candidate scores at or above its kind's threshold."""
+        """Whether a candidate scores at or above its generator's threshold."""
+        if not self.trees:
+            return _label(x) == 1
         features = _features(x)
         score = self.margin(features.__getitem__)
         limit = reduce(
-            lambda rest, kind: F.when(x["kind"] == kind, F.lit(self.thresholds[kind])).otherwise(rest),
+            lambda rest, g: F.when(_generator(features["kind"], features["wide"]) == g, F.lit(self.thresholds[g])).otherwise(rest),
             self.thresholds, F.lit(float("inf")),
         )
         return score >= limit
 
 
+def _generator(kind: Column, wide: Column) -> Column:
+    return kind + len(KINDS) * wide
+
+
 def _tree(node) -> dict:
     if node.getClass().getSimpleName() == "LeafNode":
         return {"value": float(node.prediction())}
@@ -244,15 +288,16 @@ def _tree(node) -> dict:
 
 
 def calibrated(scored: list[tuple[int, float, float, int]], precision: float = PRECISION) -> dict[int, float]:
-    """Per kind the lowest margin at or above which held-out candidates reach ``precision``.
+    """Per generator the lowest margin at or above which held-out candidates reach ``precision``.
 
-    ``scored`` holds (kind, margin, label, count). A kind without held-out
-    candidates of both labels is cut at margin 0.
+    ``scored`` holds (generator, margin, label, count); the generators are the base
+    patterns and then the wider ones. One without held-out candidates of both
+    labels is cut at margin 0.
     """
     limits = {}
-    for kind in range(len(KINDS)):
-        own = sorted([s for s in scored if s[0] == kind], key=lambda s: -s[1])
-        limits[kind] = 0.0
+    for generator in range(2 * len(KINDS)):
+        own = sorted([s for s in scored if s[0] == generator], key=lambda s: -s[1])
+        limits[generator] = 0.0
         if len({s[2] for s in own}) < 2:
             continue
         good = seen = 0
@@ -263,7 +308,7 @@ def calibrated(scored: list[tuple[int, float, float, int]], precision: float = P
             last = i + 1 == len(own) or own[i + 1][1] < margin
             if last and good >= precision * seen:
                 best = margin
-        limits[kind] = best
+        limits[generator] = best
     return limits
 
 
@@ -272,7 +317,7 @@ def fit(docs: DataFrame, trees: int = 12, depth: int = 4) -> CandidateModel:
     counts = written(feature_counts(docs), "pii-features").coalesce(1)
     train = counts.where(~F.col("held_out"))
     if train.select("label").distinct().count() < 2:
-        return CandidateModel([], {k: float("inf") for k in range(len(KINDS))})
+        return CandidateModel([], {})
     use_checkpoints(docs.sparkSession)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
         train.withColumn("weight", F.log1p("n").cast("double"))
@@ -284,15 +329,13 @@ def fit(docs: DataFrame, trees: int = 12, depth: int = 4) -> CandidateModel:
         (float(w), _tree(t.rootNode())) for w, t in zip(fitted.treeWeights, fitted._java_obj.trees())
     ]
     model = CandidateModel(grown, {})
-    held = counts.where("held_out").select("kind", model.margin(F.col).alias("margin"), "label", "n")
+    held = counts.where("held_out").select(_generator(F.col("kind"), F.col("wide")), model.margin(F.col).alias("margin"), "label", "n")
     model.thresholds = calibrated([tuple(r) for r in held.collect()])  # few rows: distinct feature values
     return model
 
 
 def _chosen(df: DataFrame, model: CandidateModel) -> DataFrame:
     """Add ``_spans``: base spans and accepted candidates that touch neither them nor an earlier one."""
-    if not model.trees:
-        return df.withColumn("_spans", F.col("_base"))
     free = F.filter("_wider", lambda x: ~_touches(x, F.col("_base")) & model.accepts(x))
     apart = F.aggregate(
         F.array_sort(free), F.array().cast(_CANDIDATES),

@@ -438,6 +438,25 @@ def test_pii_query_and_redaction(spark, texts, edges, nothing):
     assert pii.redact(nothing, pii.fit(nothing)).count() == 0
 
 
+PLANTED = [
+    "write to jane.doe (at) mail (dot) example (dot) org. Then wait", "host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 is up",
+    "reach fe80::8a2e:370:7334, please", "tel 555-234-5678 today", "call (415) 555 2671 now", "phone: 030 1234 5678", "dial 0049 30 123456",
+]
+CLEAN = ["at 12:30:45 on 2024-01-05", "a[1::2] of std::vector", "sums 123 456 7890 and 1000 2000", "pages 10-20, 3.14 2718", "look (at) this (dot) 5", "1234.5678.9012.3456"]
+
+
+@pytest.mark.parametrize("others", [0, 40])
+def test_wider_spellings_are_added(spark, others):
+    rows = PLANTED + CLEAN + ["mail me.now@host.example.org or +1 (555) 555-1234, 10.0.0.1 but 300.1.2.3 or 1234567890123456"] * others
+    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.redact(table, pii.fit(table)).collect()}
+    n = len(PLANTED)
+    assert [out[i] for i in range(n)] == [
+        "write to [EMAIL]. Then wait", "host [IP] is up", "reach [IP], please", "tel [PHONE] today", "call [PHONE] now", "phone: [PHONE]", "dial [PHONE]",
+    ]
+    assert [out[n + i] for i in range(len(CLEAN))] == CLEAN
+
+
 def test_thresholds_reach_the_precision():
     scored = [(0, 2.0, 1.0, 9), (0, 1.0, 0.0, 1), (0, 0.5, 1.0, 30), (0, -1.0, 0.0, 50), (1, 1.0, 1.0, 5)]
     limits = pii.calibrated(scored)
