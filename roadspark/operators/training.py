@@ -5,6 +5,7 @@ from __future__ import annotations
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -149,16 +150,16 @@ def cross_validate(oof: DataFrame, models: list[str], id_col: str = S.ID, half_e
 def train_final(
     assembled: DataFrame, estimators: dict[str, Estimator], parallelism: int = 4
 ) -> tuple[dict[str, Model], dict[str, str]]:
-    """Fit on all rows without early stopping. A model that fails is left out.
+    """Fit on all rows without early stopping. A model whose parameters are refused is left out.
 
-    Returns the models and the errors by name.
+    Returns the models and the errors by name. A Spark job that fails is raised.
     """
     rows = assembled.persist(StorageLevel.MEMORY_AND_DISK)
 
     def train(name: str):
         try:
             return name, fit(estimators[name], rows), None
-        except Exception as error:  # one bad parameter set must not end the others
+        except IllegalArgumentException as error:  # one bad parameter set must not end the others
             return name, None, str(error)
 
     with ThreadPool(min(parallelism, max(len(estimators), 1))) as pool:

@@ -145,12 +145,26 @@ def real_leaderboard(s, d):
     return T.cross_validate(real_oof(s, d), list(_two_models()), half_even=False)
 
 
+def _with_errors(s, metrics: DataFrame, errors: dict[str, str]) -> DataFrame:
+    """``metrics`` with ``error``, and a row for each model that was refused."""
+    refused = s.createDataFrame(list(errors.items()), "model string, error string")
+    return metrics.withColumn("error", F.lit(None).cast("string")).unionByName(refused, allowMissingColumns=True)
+
+
+def _all_trained(rows: DataFrame, estimators: dict) -> dict:
+    models, errors = T.train_final(rows, estimators)
+    if errors:
+        raise ValueError(f"models were refused: {errors}")
+    return models
+
+
 def final_models(s, d):
     """Training error of every base model refitted on all training rows."""
     _, rows = _assembled(s, d)
-    models, _ = T.train_final(rows, _small_models())
+    models, errors = T.train_final(rows, _small_models())
     scored = T.predict(rows, models).select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in models])
-    return r6(M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"]))
+    metrics = M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"])
+    return _with_errors(s, r6(metrics), errors)
 
 
 _SMALL_SPACES = {
@@ -167,16 +181,22 @@ def tuned(s, d):
     """Search, then refit the best parameters; test error per model."""
     features, rows = _assembled(s, d)
     trials = U.tune(rows, {"boosted_full": _SMALL_SPACES["boosted_full"]}, trials=2)
-    models, _ = T.train_final(rows, U.tuned_models(U.best_parameters(trials)))
+    tuned_to = U.best_parameters(trials)
+    refused = trials.where("error IS NOT NULL").select(F.concat_ws(" trial ", "model", "trial"), "error")
+    if not tuned_to:
+        raise ValueError(f"every trial was refused: {refused.collect()}")
+    models, errors = T.train_final(rows, U.tuned_models(tuned_to))
+    errors |= {r[0]: r[1] for r in refused.collect()}
     test = features.assemble(features.transform(train_test(s, d)[1]))
     scored = T.predict(test, models).select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in models])
-    return r6(M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"]))
+    metrics = M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"])
+    return _with_errors(s, r6(metrics), errors)
 
 
 def _scorer(s, d) -> Scorer:
     features, rows = _assembled(s, d)
     oof = T.oof_predictions(rows, _two_models(), k=3)
-    models, _ = T.train_final(rows, _two_models())
+    models = _all_trained(rows, _two_models())
     return Scorer(features, models, N.select_ensemble(oof, list(models)))
 
 
@@ -190,7 +210,7 @@ def scored_test(s, d):
 def streamed_scores(s, d):
     """Requests as JSON, scored as a stream; the plain mean of the models."""
     features, rows = _assembled(s, d)
-    models, _ = T.train_final(rows, _two_models())
+    models = _all_trained(rows, _two_models())
     schema = s.read.parquet(f"{d}/events.parquet").schema
     stream = from_events(s.readStream.schema(schema).parquet(f"{d}/event[s].parquet"))
     text = stream.select("Index", F.to_json(F.struct(*[c for c in stream.columns if c not in ("Index", "demand")])).alias("value"))

@@ -226,3 +226,20 @@ def test_importances_sum_to_one(assembled, features):
     for table in [*tables.values(), ranking.rf_importance(assembled, names, trees=3, depth=3)]:
         rows = table.collect()
         assert len(rows) == len(names) and sum(r.score for r in rows) == pytest.approx(1)
+
+
+def test_failed_jobs_are_not_swallowed(monkeypatch, assembled):
+    """Refused parameters are told in the result; a failing job ends tuning and training."""
+    spaces = {"bad": {"depth": ("int", 99, 99), "rounds": ("int", 2, 2)}}
+    row = tuning.tune(assembled, spaces, trials=1, k=2).first()
+    assert row.r2 is None and "maxDepth" in row.error
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(training, "fit", lost)
+    monkeypatch.setattr(tuning, "fit", lost)
+    with pytest.raises(RuntimeError):
+        training.train_final(assembled, estimators())
+    with pytest.raises(RuntimeError):
+        tuning.tune(assembled, {"boosted": {"rounds": ("int", 2, 2)}}, trials=1, k=2)
