@@ -7,17 +7,16 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspark import schema as S
+from roadspark.operators.boosting import PATIENCE, Boosting, Fit, as_model, grow
 from roadspark.operators.metrics import clipped, cv_leaderboard, regression_metrics
 from roadspark.operators.sampling import fold_column, with_folds
 from roadspark.runtime import use_checkpoints, written
 
-# Rounds without gain after which boosting ends.
-PATIENCE = 50
 BOOSTED = ["boosted_full", "boosted_bagged", "boosted_columns"]
 
 
@@ -35,27 +34,23 @@ def random_forest(trees: int = 200, depth: int = 15, min_leaf: int = 5, seed: in
 
 def boosted(
     rounds: int = 1000, depth: int = 8, rate: float = 0.1, rows: float = 1.0, columns: float = 1.0,
-    min_leaf: int = 1, seed: int = S.SEED,
-) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol=S.TARGET, maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
-        featureSubsetStrategy="all" if columns >= 1 else str(columns), minInstancesPerNode=min_leaf,
-        seed=seed, maxMemoryInMB=512,
-    )
+    min_leaf: int = 1, l1: float = 0.0, l2: float = 0.0, seed: int = S.SEED,
+) -> Boosting:
+    return Boosting(rounds, depth, rate, rows, columns, min_leaf, l1, l2, seed)
 
 
-def boosted_models(rounds: int = 1000, depth: int = 8, seed: int = S.SEED) -> dict[str, GBTRegressor]:
-    """Three presets: no subsampling; rows and columns with 2^6 leaves; rows and columns."""
+def boosted_models(rounds: int = 1000, depth: int = 8, seed: int = S.SEED) -> dict[str, Boosting]:
+    """Three presets: all rows with strong L2; rows and columns with 2^6 leaves; rows and columns with L2."""
     return {
-        "boosted_full": boosted(rounds, depth, seed=seed),
+        "boosted_full": boosted(rounds, depth, l2=5.0, seed=seed),
         "boosted_bagged": boosted(rounds, min(depth, 6), rows=0.8, columns=0.8, min_leaf=20, seed=seed),
-        "boosted_columns": boosted(rounds, depth, rows=0.8, columns=0.8, seed=seed),
+        "boosted_columns": boosted(rounds, depth, rows=0.8, columns=0.8, l2=1.0, seed=seed),
     }
 
 
 def default_models(
     rounds: int = 1000, depth: int = 8, trees: int = 200, forest_depth: int = 15, seed: int = S.SEED
-) -> dict[str, Estimator]:
+) -> dict[str, Estimator | Boosting]:
     return {
         "linear": linear_regression(),
         "random_forest": random_forest(trees, forest_depth, seed=seed),
@@ -64,29 +59,24 @@ def default_models(
 
 
 def fit(
-    estimator: Estimator, train: DataFrame, early_stop: bool = False, id_col: str = S.ID, patience: int = PATIENCE
+    estimator: Estimator | Boosting, train: DataFrame, early_stop: bool = False, id_col: str = S.ID, patience: int = PATIENCE
 ) -> Model:
-    """Fit one model. With ``early_stop`` a tenth of the *training* rows decides how
-    many rounds boosting gets, so that the rows a model is scored on never steer
-    it; the model is then fitted to all training rows with that many."""
+    """Fit one model. With ``early_stop`` a tenth of the *training* rows decides, as the trees
+    grow, how many rounds boosting gets; the rows a model is scored on never steer it."""
+    if isinstance(estimator, Boosting):
+        return boosted_fits(train, {"m": Fit(estimator, stop=early_stop)}, id_col, patience)["m"]
     use_checkpoints(train.sparkSession)
-    if early_stop and isinstance(estimator, GBTRegressor):
-        held_out = fold_column(10, S.SEED + 1, id_col) == 0
-        grown = estimator.fit(train.where(~held_out))
-        errors = grown.evaluateEachIteration(train.where(held_out), "squared")
-        estimator = estimator.copy({estimator.maxIter: best_rounds(errors, patience)})
     return estimator.fit(train)
 
 
-def best_rounds(errors: list[float], patience: int = PATIENCE) -> int:
-    """The round of least error before ``patience`` rounds in a row bring no gain."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
+def boosted_fits(
+    assembled: DataFrame, fits: dict, id_col: str = S.ID, patience: int = PATIENCE
+) -> dict:
+    """Models of boosted fits that grow side by side over the same rows."""
+    if not fits:
+        return {}
+    edges = grow(assembled, list(fits.values()), id_col, patience=patience)
+    return {name: as_model(assembled.sparkSession, one, edges) for name, one in fits.items()}
 
 
 def predict(df: DataFrame, models: dict[str, Model], prefix: str = "pred_") -> DataFrame:
@@ -101,28 +91,34 @@ def predict(df: DataFrame, models: dict[str, Model], prefix: str = "pred_") -> D
 
 def oof_predictions(
     assembled: DataFrame,
-    estimators: dict[str, Estimator],
+    estimators: dict[str, Estimator | Boosting],
     k: int = S.CV_FOLDS,
     seed: int = S.SEED,
     early_stop: bool = True,
     id_col: str = S.ID,
     parallelism: int = 4,
+    patience: int = PATIENCE,
 ) -> DataFrame:
     """Every model's prediction for each row by the fit that did not see its fold.
 
     Columns ``(id, fold, demand, pred_<model>...)``, written once; leaderboard and
-    ensembles all read this table. Fits run side by side as separate Spark jobs.
+    ensembles all read this table. All boosted fits grow side by side in the same
+    passes; the others run as separate Spark jobs.
     """
-    folded = with_folds(assembled, k, seed, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = written(with_folds(assembled, k, seed, id_col), "folded")
 
     def train(job: tuple[int, str]) -> tuple[int, str, Model]:
         fold, name = job
         rows = folded.where(F.col("fold") != fold)
         return fold, name, fit(estimators[name], rows, early_stop, id_col)
 
-    jobs = [(f, name) for name in estimators for f in range(k)]
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
+    jobs = [(f, name) for name, e in estimators.items() if not isinstance(e, Boosting) for f in range(k)]
+    with ThreadPool(max(min(parallelism, len(jobs)), 1)) as pool:
         fitted = pool.map(inheritable_thread_target(assembled.sparkSession)(train), jobs, chunksize=1)
+    together = {
+        (f, name): Fit(e, f, early_stop) for name, e in estimators.items() if isinstance(e, Boosting) for f in range(k)
+    }
+    fitted += [(f, name, m) for (f, name), m in boosted_fits(folded, together, id_col, patience).items()]
     parts = []
     for fold in range(k):
         models = {name: m for f, name, m in fitted if f == fold}
@@ -131,9 +127,7 @@ def oof_predictions(
     table = parts[0]
     for part in parts[1:]:
         table = table.unionByName(part)
-    result = written(table, "oof")
-    folded.unpersist()
-    return result
+    return written(table, "oof")
 
 
 def long_predictions(oof: DataFrame, models: list[str], id_col: str = S.ID) -> DataFrame:
@@ -148,23 +142,34 @@ def cross_validate(oof: DataFrame, models: list[str], id_col: str = S.ID, half_e
 
 
 def train_final(
-    assembled: DataFrame, estimators: dict[str, Estimator], parallelism: int = 4
+    assembled: DataFrame, estimators: dict[str, Estimator | Boosting], parallelism: int = 4, early_stop: bool = False,
+    id_col: str = S.ID, patience: int = PATIENCE,
 ) -> tuple[dict[str, Model], dict[str, str]]:
-    """Fit on all rows without early stopping. A model whose parameters are refused is left out.
+    """Fit on all rows, without early stopping unless asked for. A model whose parameters are refused is left out.
 
     Returns the models and the errors by name. A Spark job that fails is raised.
     """
     rows = assembled.persist(StorageLevel.MEMORY_AND_DISK)
+    results, together = [], {}
+    for name, estimator in estimators.items():
+        if isinstance(estimator, Boosting):
+            try:
+                together[name] = Fit(estimator.checked(), stop=early_stop)
+            except ValueError as error:  # one bad parameter set must not end the others
+                results.append((name, None, str(error)))
 
     def train(name: str):
         try:
             return name, fit(estimators[name], rows), None
-        except IllegalArgumentException as error:  # one bad parameter set must not end the others
+        except IllegalArgumentException as error:
             return name, None, str(error)
 
-    with ThreadPool(min(parallelism, max(len(estimators), 1))) as pool:
-        results = pool.map(inheritable_thread_target(assembled.sparkSession)(train), list(estimators), chunksize=1)
+    others = [name for name, estimator in estimators.items() if not isinstance(estimator, Boosting)]
+    with ThreadPool(min(parallelism, max(len(others), 1))) as pool:
+        results += pool.map(inheritable_thread_target(assembled.sparkSession)(train), others, chunksize=1)
+    results += [(name, model, None) for name, model in boosted_fits(rows, together, id_col, patience).items()]
     rows.unpersist()
+    results.sort(key=lambda r: list(estimators).index(r[0]))
     return (
         {name: model for name, model, error in results if error is None},
         {name: error for name, _, error in results if error is not None},

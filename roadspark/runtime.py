@@ -40,6 +40,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """The first line of each text file, read by the driver; nothing beyond it is parsed."""
     read = {}
