@@ -51,11 +51,13 @@ class Boosting:
     min_leaf: int = 1
     l1: float = 0.0
     l2: float = 0.0
+    min_gain: float = 0.0
     seed: int = S.SEED
 
     def checked(self) -> "Boosting":
         if not (self.rounds >= 1 and 1 <= self.depth <= 15 and self.rate > 0 and 0 < self.rows <= 1
-                and 0 < self.columns <= 1 and self.min_leaf >= 1 and self.l1 >= 0 and self.l2 >= 0):
+                and 0 < self.columns <= 1 and self.min_leaf >= 1 and self.l1 >= 0 and self.l2 >= 0
+                and self.min_gain >= 0):
             raise ValueError(f"refused boosting parameters: {self}")
         return self
 
@@ -226,7 +228,7 @@ def _best_splits(hist: np.ndarray, allowed: np.ndarray, params: Boosting, scale:
         feature, cut = divmod(int(at), hist.shape[2])
         best = float(gain[i, feature, cut])
         g, n = float(total[i, 0]), int(total[i, 1])
-        if best <= 1e-12:
+        if best <= max(2 * params.min_gain, 1e-12):
             found.append((-1, 0, 0.0, g, n, 0.0, 0))
         else:
             found.append((feature, cut, best, g, n, float(left[i, feature, cut, 0]), int(left[i, feature, cut, 1])))
@@ -472,7 +474,33 @@ def _stops(fit: Fit, patience: int) -> bool:
     return len(fit.trees) >= fit.params.rounds or len(fit.errors) - fit.best() >= patience
 
 
-# ---- models
+# ---- scores and models
+
+
+def _scored(batches: Iterator[pa.RecordBatch], edges: Edges, fits: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """The first column holds the vectors, the second the folds; the others pass through."""
+    for batch in batches:
+        n, names = batch.num_rows, [*batch.schema.names[2:], "scores"]
+        x = np.asarray(batch.column(0).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(n, -1)
+        bins = np.stack([np.searchsorted(b, x[:, k], "left") for k, b in enumerate(edges.bounds)], axis=1)
+        fold = batch.column(1).to_numpy(zero_copy_only=False)
+        scores = np.full((n, len(fits)), np.nan)
+        for j, (params, own_fold, base, trees) in enumerate(fits):
+            rows = np.flatnonzero(fold == own_fold) if own_fold is not None else np.arange(n)
+            scores[rows, j] = _add(np.full(len(rows), base), bins[rows], trees, params)
+        lists = pa.ListArray.from_arrays(np.arange(0, scores.size + 1, len(fits), dtype=np.int32), scores.ravel())
+        yield pa.RecordBatch.from_arrays([*batch.columns[2:], lists], names=names)
+
+
+def scored(df: DataFrame, fits: list[Fit], edges: Edges) -> DataFrame:
+    """``df`` without its vectors and with ``scores``: the value of every fit, for the fits of a fold NaN on rows outside it."""
+    plain = [(f.params, f.fold, f.base, _light({0: f.trees[: f.best()]})[0]) for f in fits]
+    shared = df.sparkSession.sparkContext.broadcast(plain)  # as large as the models
+    kept = [c for c in df.columns if c != "features"]
+    fold = F.col("fold").cast("int") if "fold" in df.columns else F.lit(-1)
+    rows = df.select(vector_to_array("features").alias("x"), fold.alias("_fold"), *kept)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(lambda batches: _scored(batches, edges, shared.value), f"{schema}, scores array<double>")
 
 
 def as_model(spark, fit: Fit, edges: Edges, target: str = S.TARGET) -> GBTRegressionModel:
@@ -496,11 +524,15 @@ def as_model(spark, fit: Fit, edges: Edges, target: str = S.TARGET) -> GBTRegres
                 (feature, [float(bound)], -1) if split else (-1, [], -1),
             )))
     path = new_path(spark, "boosted-model")
-    node = (
-        "treeID int, nodeData struct<id:int,prediction:double,impurity:double,impurityStats:array<double>,rawCount:bigint,"
-        "gain:double,leftChild:int,rightChild:int,split:struct<featureIndex:int,leftCategoriesOrThreshold:array<double>,numCategories:int>>"
-    )
-    spark.createDataFrame(rows, node).coalesce(1).write.parquet(f"{path}/data")
+    names = ["id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "split"]
+    parts = ["featureIndex", "leftCategoriesOrThreshold", "numCategories"]
+    kinds = [pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.float64(), pa.int32(), pa.int32(),
+             pa.struct(list(zip(parts, [pa.int32(), pa.list_(pa.float64()), pa.int32()])))]
+    nodes = [dict(zip(names, (*node[:-1], dict(zip(parts, node[-1]))))) for _, node in rows]
+    table = pa.table({
+        "treeID": pa.array([t for t, _ in rows], pa.int32()), "nodeData": pa.array(nodes, pa.struct(list(zip(names, kinds)))),
+    })
+    spark.createDataFrame(table).coalesce(1).write.parquet(f"{path}/data")
     own = GBTRegressor(labelCol=target, maxIter=len(trees), maxDepth=fit.params.depth, stepSize=fit.params.rate)
 
     def described(kind: str, uid: str, **more) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspark import schema as S
-from roadspark.operators.boosting import PATIENCE, Boosting, Fit, as_model, grow
+from roadspark.operators.boosting import PATIENCE, Boosting, Fit, as_model, grow, scored
 from roadspark.operators.metrics import clipped, cv_leaderboard, regression_metrics
 from roadspark.operators.sampling import fold_column, with_folds
 from roadspark.runtime import use_checkpoints, written
@@ -34,9 +34,9 @@ def random_forest(trees: int = 200, depth: int = 15, min_leaf: int = 5, seed: in
 
 def boosted(
     rounds: int = 1000, depth: int = 8, rate: float = 0.1, rows: float = 1.0, columns: float = 1.0,
-    min_leaf: int = 1, l1: float = 0.0, l2: float = 0.0, seed: int = S.SEED,
+    min_leaf: int = 1, l1: float = 0.0, l2: float = 0.0, min_gain: float = 0.0, seed: int = S.SEED,
 ) -> Boosting:
-    return Boosting(rounds, depth, rate, rows, columns, min_leaf, l1, l2, seed)
+    return Boosting(rounds, depth, rate, rows, columns, min_leaf, l1, l2, min_gain, seed)
 
 
 def boosted_models(rounds: int = 1000, depth: int = 8, seed: int = S.SEED) -> dict[str, Boosting]:
@@ -112,21 +112,32 @@ def oof_predictions(
         rows = folded.where(F.col("fold") != fold)
         return fold, name, fit(estimators[name], rows, early_stop, id_col)
 
-    jobs = [(f, name) for name, e in estimators.items() if not isinstance(e, Boosting) for f in range(k)]
+    plain = [name for name, e in estimators.items() if not isinstance(e, Boosting)]
+    jobs = [(f, name) for name in plain for f in range(k)]
     with ThreadPool(max(min(parallelism, len(jobs)), 1)) as pool:
         fitted = pool.map(inheritable_thread_target(assembled.sparkSession)(train), jobs, chunksize=1)
-    together = {
-        (f, name): Fit(e, f, early_stop) for name, e in estimators.items() if isinstance(e, Boosting) for f in range(k)
-    }
-    fitted += [(f, name, m) for (f, name), m in boosted_fits(folded, together, id_col, patience).items()]
-    parts = []
-    for fold in range(k):
-        models = {name: m for f, name, m in fitted if f == fold}
-        models = {name: models[name] for name in estimators}
-        parts.append(predict(folded.where(F.col("fold") == fold), models).drop("features"))
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
+    table = folded
+    if plain:
+        parts = []
+        for fold in range(k):
+            models = {name: m for f, name, m in fitted if f == fold}
+            parts.append(predict(folded.where(F.col("fold") == fold), {name: models[name] for name in plain}))
+        table = parts[0]
+        for part in parts[1:]:
+            table = table.unionByName(part)
+    together = [(f, name) for name, e in estimators.items() if isinstance(e, Boosting) for f in range(k)]
+    if together:
+        fits = [Fit(estimators[name], f, early_stop) for f, name in together]
+        edges = grow(folded, fits, id_col, patience=patience)
+        table = scored(table, fits, edges)
+        # Of a model's fits, one belongs to the row's fold.
+        place = {name: [i for i, job in enumerate(together) if job[1] == name] for _, name in together}
+        table = table.withColumns({
+            f"pred_{name}": clipped(F.element_at("scores", F.element_at(F.array(*[F.lit(i + 1) for i in own]), F.col("fold") + 1)))
+            for name, own in place.items()
+        })
+    columns = [c for c in folded.columns if c != "features"] + [f"pred_{name}" for name in estimators]
+    table = table.select(*columns)
     return written(table, "oof")
 
 

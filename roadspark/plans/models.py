@@ -1,12 +1,16 @@
 """Folds, metrics, ensembles, attribution and scoring.
 
-The arithmetic is checked on three fixed formulas that stand in for base models;
-the rows-only queries fit real ones with few rounds.
+The arithmetic is checked on three fixed formulas that stand in for base models.
+The other queries run the real five models on all features; what is fitted once
+(features, out-of-fold predictions, final models) is kept for the session, so
+that scoring queries score. ``M10_oof_predictions`` always fits anew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import cached_property, lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspark.functions import columns as C
@@ -15,14 +19,19 @@ from roadspark.operators import ensemble as N
 from roadspark.operators import metrics as M
 from roadspark.operators import training as T
 from roadspark.operators import tuning as U
+from roadspark.operators.features import RoadFeatures
+from roadspark.operators.tree_attribution import tree_attribution
 from roadspark.operators.sampling import with_folds
 from roadspark.operators.scoring import Scorer
 from roadspark.plans.base import HOUR, features_sql, fitted, r, r6, traffic, train_test, with_traffic
-from roadspark.runtime import new_path
+from roadspark.runtime import new_path, written
 from roadspark.sources.requests import read_requests
 from roadspark.sources.traffic import from_events
 from roadspark.streaming.scoring import start_scoring
 
+# What the fitting queries run with: rounds allowed, rounds without gain before growth
+# stops, trees of the forest (200 in the library), trials and first rounds of the search (100 and 40 there).
+ROUNDS, PATIENCE, TREES, TRIALS, FIRST_ROUNDS = 1000, 50, 20, 4, 10
 NAMES = ["a", "b", "c"]
 # Same text in Spark SQL and in the checking SQL.
 FORMULAS = {
@@ -102,47 +111,90 @@ def attribution(s, d):
     return H.linear_attribution(_featured(s, d), COEFFICIENTS, INTERCEPT)
 
 
-def _assembled(s, d):
-    train, _ = train_test(s, d)
-    model = fitted(train)
-    return model, model.assemble(model.transform(train)).persist()
+class Study:
+    """Everything fitted on the days before the split, each part when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.train, self.test = train_test(spark, sf_dir)
+
+    @cached_property
+    def features(self):
+        """All 36 features, regions included."""
+        return RoadFeatures().fit(self.train)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return written(self.features.assemble(self.features.transform(self.train)), "vectors")
+
+    @cached_property
+    def test_rows(self) -> DataFrame:
+        return self.features.assemble(self.features.transform(self.test))
+
+    @cached_property
+    def oof(self) -> DataFrame:
+        return T.oof_predictions(self.rows, models_of_study(), patience=PATIENCE)
+
+    @cached_property
+    def final(self) -> tuple[dict, dict]:
+        return T.train_final(self.rows, models_of_study(), early_stop=True, patience=PATIENCE)
+
+    @cached_property
+    def models(self) -> dict:
+        models, errors = self.final
+        if errors:
+            raise ValueError(f"models were refused: {errors}")
+        return models
+
+    @cached_property
+    def scorer_path(self) -> str:
+        path = new_path(self.rows.sparkSession, "scorer")
+        Scorer(self.features, self.models, N.select_ensemble(self.oof, list(self.models))).save(path)
+        return path
+
+
+def models_of_study() -> dict:
+    return T.default_models(ROUNDS, trees=TREES)
+
+
+@lru_cache(maxsize=4)
+def _study(application: str, sf_dir: str) -> Study:
+    return Study(SparkSession.getActiveSession(), sf_dir)
+
 
+def study(s: SparkSession, d: str) -> Study:
+    return _study(s.sparkContext.applicationId, d)
 
-def _small_models() -> dict:
-    return {
-        "linear": T.linear_regression(),
-        "random_forest": T.random_forest(trees=10, depth=6),
-        **T.boosted_models(rounds=5, depth=4),
-    }
+
+def _errors_of(scored: DataFrame, names: list[str]) -> DataFrame:
+    long = scored.select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in names]).unpivot(
+        ["Index", "demand"], names, "model", "pred"
+    )
+    return M.regression_metrics(long, ["model"])
 
 
 def single_model(name: str):
     """R2, RMSE and MAE of one fitted model on the days after the split."""
     def run(s, d):
-        train, test = train_test(s, d)
-        features = fitted(train)
-        rows = features.assemble(features.transform(train)).persist()
-        names = ["boosted_full", "boosted_bagged", "boosted_columns"] if name == "boosted" else [name]
-        models = {n: T.fit(_small_models()[n], rows, early_stop=True) for n in names}
-        scored = T.predict(features.assemble(features.transform(test)), models)
-        long = scored.select(
-            "Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in names]
-        ).unpivot(["Index", "demand"], names, "model", "pred")
-        return r6(M.regression_metrics(long, ["model"]))
+        own = study(s, d)
+        names = T.BOOSTED if name == "boosted" else [name]
+        return r6(_errors_of(T.predict(own.test_rows, {n: own.models[n] for n in names}), names))
     return run
 
 
-def _two_models() -> dict:
-    return {"linear": T.linear_regression(), "boosted_full": T.boosted(rounds=5, depth=4)}
+def fresh_oof(s, d):
+    """Five folds of five models, fitted now."""
+    return T.oof_predictions(study(s, d).rows, models_of_study(), patience=PATIENCE)
 
 
-def real_oof(s, d):
-    _, rows = _assembled(s, d)
-    return T.oof_predictions(rows, _two_models(), k=3)
+def real_leaderboard(s, d):
+    return T.cross_validate(study(s, d).oof, list(models_of_study()), half_even=False)
 
 
-def real_leaderboard(s, d):
-    return T.cross_validate(real_oof(s, d), list(_two_models()), half_even=False)
+def real_selection(s, d):
+    """The combination chosen from the real out-of-fold predictions, with every candidate's R2."""
+    chosen = N.select_ensemble(study(s, d).oof, list(models_of_study()))
+    rows = [(name, float(r2), name == chosen.best_type) for name, r2 in chosen.scores.items()]
+    return r6(s.createDataFrame(rows, "candidate string, r2 double, chosen boolean"))
 
 
 def _with_errors(s, metrics: DataFrame, errors: dict[str, str]) -> DataFrame:
@@ -151,83 +203,80 @@ def _with_errors(s, metrics: DataFrame, errors: dict[str, str]) -> DataFrame:
     return metrics.withColumn("error", F.lit(None).cast("string")).unionByName(refused, allowMissingColumns=True)
 
 
-def _all_trained(rows: DataFrame, estimators: dict) -> dict:
-    models, errors = T.train_final(rows, estimators)
-    if errors:
-        raise ValueError(f"models were refused: {errors}")
-    return models
-
-
 def final_models(s, d):
-    """Training error of every base model refitted on all training rows."""
-    _, rows = _assembled(s, d)
-    models, errors = T.train_final(rows, _small_models())
-    scored = T.predict(rows, models).select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in models])
-    metrics = M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"])
-    return _with_errors(s, r6(metrics), errors)
+    """Training error of every base model fitted on all training rows."""
+    own = study(s, d)
+    models, errors = own.final
+    return _with_errors(s, r6(_errors_of(T.predict(own.rows, models), list(models))), errors)
 
 
-_SMALL_SPACES = {
-    name: {**space, "rounds": ("int", 2, 4), "depth": ("int", 2, 4)} for name, space in U.SPACES.items()
-}
+def _trials(s, d, spaces: dict) -> DataFrame:
+    return U.tune(study(s, d).rows, spaces, trials=TRIALS, first_rounds=FIRST_ROUNDS, patience=FIRST_ROUNDS)
 
 
 def tuning_trials(s, d):
-    _, rows = _assembled(s, d)
-    return r6(U.tune(rows, _SMALL_SPACES, trials=2)).drop("params")
+    return r6(_trials(s, d, U.SPACES).drop("params"))
 
 
 def tuned(s, d):
-    """Search, then refit the best parameters; test error per model."""
-    features, rows = _assembled(s, d)
-    trials = U.tune(rows, {"boosted_full": _SMALL_SPACES["boosted_full"]}, trials=2)
-    tuned_to = U.best_parameters(trials)
+    """Search, save and read the best parameters, fit them; test error per model."""
+    own = study(s, d)
+    trials = _trials(s, d, U.SPACES)
+    found = U.best_parameters(trials)
     refused = trials.where("error IS NOT NULL").select(F.concat_ws(" trial ", "model", "trial"), "error")
-    if not tuned_to:
+    if not found:
         raise ValueError(f"every trial was refused: {refused.collect()}")
-    models, errors = T.train_final(rows, U.tuned_models(tuned_to))
+    path = new_path(s, "parameters")
+    U.save_parameters(found, s, path)
+    models, errors = T.train_final(
+        own.rows, U.tuned_models(U.load_parameters(s, path)), early_stop=True, patience=FIRST_ROUNDS
+    )
     errors |= {r[0]: r[1] for r in refused.collect()}
-    test = features.assemble(features.transform(train_test(s, d)[1]))
-    scored = T.predict(test, models).select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in models])
-    metrics = M.regression_metrics(scored.unpivot(["Index", "demand"], list(models), "model", "pred"), ["model"])
-    return _with_errors(s, r6(metrics), errors)
-
-
-def _scorer(s, d) -> Scorer:
-    features, rows = _assembled(s, d)
-    oof = T.oof_predictions(rows, _two_models(), k=3)
-    models = _all_trained(rows, _two_models())
-    return Scorer(features, models, N.select_ensemble(oof, list(models)))
+    return _with_errors(s, r6(_errors_of(T.predict(own.test_rows, models), list(models))), errors)
 
 
 def scored_test(s, d):
-    """Fit, save, load and score the days after the split."""
-    path = new_path(s, "scorer")
-    _scorer(s, d).save(path)
-    return r6(Scorer.load(s, path).score(train_test(s, d)[1]))
+    """Load the saved scorer and score the days after the split."""
+    own = study(s, d)
+    return r6(Scorer.load(s, own.scorer_path).score(own.test))
 
 
 def streamed_scores(s, d):
     """Requests as JSON, scored as a stream; the plain mean of the models."""
-    features, rows = _assembled(s, d)
-    models = _all_trained(rows, _two_models())
+    own = study(s, d)
     schema = s.read.parquet(f"{d}/events.parquet").schema
     stream = from_events(s.readStream.schema(schema).parquet(f"{d}/event[s].parquet"))
     text = stream.select("Index", F.to_json(F.struct(*[c for c in stream.columns if c not in ("Index", "demand")])).alias("value"))
     folder = new_path(s, "scores")
-    start_scoring(Scorer(features, models), read_requests(text), folder, new_path(s, "progress")).awaitTermination()
+    start_scoring(Scorer(own.features, own.models), read_requests(text), folder, new_path(s, "progress")).awaitTermination()
     return s.read.schema("Index bigint, demand double").parquet(folder)
 
 
 def permuted(s, d):
-    features, rows = _assembled(s, d)
-    model = T.fit(T.boosted(rounds=5, depth=4), rows)
+    """The model-agnostic fallback on its default sample of rows."""
+    own = study(s, d)
     phi, _ = H.permutation_attribution(
-        rows, model, features.feature_columns, explained=20, background=10, permutations=1
+        own.rows, own.models["boosted_bagged"], own.features.feature_columns, explained=20, background=10, permutations=1
     )
     return r6(phi)
 
 
+def tree_values(s, d):
+    """Exact values of every training row and feature."""
+    own = study(s, d)
+    return r6(tree_attribution(own.rows, own.models["boosted_bagged"], own.features.feature_columns)[0])
+
+
+def tree_sums(s, d):
+    """What the values of a row and the base are off its prediction; rounds to zero in every row."""
+    own = study(s, d)
+    model = own.models["boosted_bagged"]
+    phi, base = tree_attribution(own.rows, model, own.features.feature_columns)
+    sums = phi.groupBy("Index").agg(F.sum("phi").alias("phi"))
+    off = F.col("phi") + base.first()["base_value"] - F.col("prediction")
+    return r6(model.transform(own.rows).join(sums, "Index").select("Index", off.alias("off")))
+
+
 QUERIES = {
     "M01_kfold": lambda s, d: with_folds(traffic(s, d), 5).select("Index", "fold"),
     "M02_linear_regression": single_model("linear"),
@@ -239,16 +288,19 @@ QUERIES = {
     "M07_train_final": final_models,
     "M08_tune": tuning_trials,
     "M09_train_tuned": tuned,
-    "M10_oof_predictions": lambda s, d: r6(real_oof(s, d)),
+    "M10_oof_predictions": lambda s, d: r6(fresh_oof(s, d)),
     "M11_weighted_ensemble": weights,
     "M12_stacking_ensemble": stacking,
     "M13_select_ensemble": candidates,
+    "M13_selected": real_selection,
     "M14_combine": combined,
     "M15_score": scored_test,
     "M16_prediction_summary": summary,
     "M17_stream_score": streamed_scores,
     "H01_linear_attribution": lambda s, d: r6(attribution(s, d)[0]),
     "H01_permutation_attribution": permuted,
+    "H01_tree_attribution": tree_values,
+    "H01_tree_attribution_adds_up": tree_sums,
     "H02_global_importance": lambda s, d: r6(H.global_importance(attribution(s, d)[0], 10)),
     "H03_summary_points": lambda s, d: r6(H.summary_points(attribution(s, d)[0], 10)),
     "H04_local_explanation": lambda s, d: r6(H.local_explanation(*attribution(s, d))),
@@ -335,6 +387,7 @@ ORACLE = {
         f"""SELECT {r('avg(p)', 'mean')}, {r('stddev_pop(p)', 'std')}, {r('min(p)', 'min')}, {r('max(p)', 'max')}
         FROM (SELECT {_WEIGHTED} AS p FROM raw WHERE day >= 70)""", _RAW,
     ),
+    "H01_tree_attribution_adds_up": with_traffic('SELECT "Index", 0.0::DOUBLE AS off FROM train'),
     "H01_linear_attribution": features_sql(f'SELECT "Index", feature, {r("value")}, {r("phi")} FROM phi', "train", _PHI),
     "H02_global_importance": features_sql(f"SELECT feature, {r('importance')} FROM top", "train", _PHI),
     "H03_summary_points": features_sql(

@@ -166,6 +166,24 @@ def test_tuning_marks_the_best_trial(assembled):
     assert isinstance(best["depth"], int) and tuning.tuned_models({"boosted_full": best})
 
 
+def test_search_halves_stores_and_resumes(spark, assembled, tmp_path, monkeypatch):
+    spaces = {"boosted_full": {"depth": ("int", 1, 2), "rounds": ("int", 30, 40), "rate": ("log", 0.02, 0.1), "l1": ("log", 1e-3, 1.0)}}
+    options = dict(trials=4, k=2, first_rounds=8, keep=2, patience=50, store=str(tmp_path / "t"))
+    whole = tuning.tune(assembled, spaces, **options).orderBy("trial").collect()
+    assert [r.trial for r in whole] == [0, 1, 2, 3] and sorted(r.rung for r in whole)[:2] == [0, 0]
+    rungs = spark.read.parquet(str(tmp_path / "t")).groupBy("rung").count().orderBy("rung").collect()
+    assert [r["count"] for r in rungs] == [4, 2, 1, 1][: len(rungs)] and len(rungs) >= 2
+
+    def again(*args, **kwargs):
+        raise RuntimeError("nothing is left to run")
+
+    monkeypatch.setattr(tuning, "grow", again)
+    assert tuning.tune(assembled, spaces, **options).orderBy("trial").collect() == whole
+    best = tuning.best_parameters(tuning.finished_trials(spark, str(tmp_path / "t")), spaces)
+    tuning.save_parameters(best, spark, str(tmp_path / "p"))
+    assert tuning.load_parameters(spark, str(tmp_path / "p")) == best and set(best["boosted_full"]) == set(spaces["boosted_full"])
+
+
 def test_permutation_values_add_up(assembled, scorer, features):
     model = scorer.models["boosted_full"]
     phi, base = attribution.permutation_attribution(
@@ -232,13 +250,13 @@ def test_failed_jobs_are_not_swallowed(monkeypatch, assembled):
     """Refused parameters are told in the result; a failing job ends tuning and training."""
     spaces = {"bad": {"depth": ("int", 99, 99), "rounds": ("int", 2, 2)}}
     row = tuning.tune(assembled, spaces, trials=1, k=2).first()
-    assert row.r2 is None and "maxDepth" in row.error
+    assert row.r2 is None and "depth=99" in row.error
 
     def lost(*args, **kwargs):
         raise RuntimeError("executor lost")
 
     monkeypatch.setattr(training, "fit", lost)
-    monkeypatch.setattr(tuning, "fit", lost)
+    monkeypatch.setattr(tuning, "grow", lost)
     with pytest.raises(RuntimeError):
         training.train_final(assembled, estimators())
     with pytest.raises(RuntimeError):
