@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,8 +32,15 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(spark.sparkContext.applicationId)
 
 
+# Paths given out inside each open call of :func:`written_alone`.
+_GIVEN: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _GIVEN:
+        _GIVEN[-1].append(path)
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -77,6 +85,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Write what ``make`` returns, read it back, and delete whatever ``make`` wrote on the way to it."""
+    _GIVEN.append([])
+    try:
+        result = written(make(), name)
+    finally:
+        *on_the_way, last = _GIVEN.pop() or [None]
+    for path in on_the_way:
+        remove(spark, path)
+    if _GIVEN:
+        _GIVEN[-1].append(last)
+    return result
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
