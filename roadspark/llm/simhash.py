@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from roadspark.llm.components import components, merge
 from roadspark.llm.rows import packed, unpacked
-from roadspark.runtime import written
+from roadspark.runtime import written, written_alone
 
 WORDS = 4
 DISTANCE = 4
@@ -40,6 +40,8 @@ CELL = 1024
 SIMILARITY = 0.8
 # Texts that are 0.8 alike share none of 32 bands of 4 minima with probability (1 - 0.8 ** 4) ** 32, 5e-8.
 BANDS, ROWS = 32, 4
+# Of 128 minima, pairs 0.8 alike share 102 on average, and fewer than 77 with probability below 1e-7.
+LEAST_SHARED = 77
 _SEED = 42
 _RANDOM = np.random.default_rng(_SEED).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 _FLIP, _ODD = _RANDOM[0], _RANDOM[1] | np.uint64(1)
@@ -190,14 +192,17 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(_hashes(text, words))
 
 
-def _band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key per band of minima; sets of similarity s share a given one with probability s ** ROWS."""
-    if not len(hashes):
-        return np.empty(0, np.uint64)
+def _minima(hashes: np.ndarray) -> np.ndarray:
+    """Least values of the set under each of the mixings; sets of similarity s share a given one with probability s."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 2048):
         mixed = (hashes[at : at + 2048, None] ^ _FLIP) * _ODD
         np.minimum(least, mixed.min(axis=0), out=least)
+    return least
+
+
+def _band_keys(least: np.ndarray) -> np.ndarray:
+    """One key per band of minima; sets of similarity s share a given one with probability s ** ROWS."""
     keys = np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP
     for row in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ row) * _STEP
@@ -207,18 +212,21 @@ def _band_keys(hashes: np.ndarray) -> np.ndarray:
 
 def _described(batches: Iterator[pa.RecordBatch], words: int, banded: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        node, n, prints, keys = [], [], [], []
+        node, n, prints, keys, minima = [], [], [], [], []
         for text in batch.column(2).to_pylist():
             hashes = _hashes(text, words)
             distinct = np.unique(hashes)
             node.append(xxhash.xxh64_intdigest(distinct.tobytes(), _SEED) if len(distinct) else 0)
             n.append(len(distinct))
             prints.append(_print(hashes))
-            keys.append(_band_keys(distinct).view(np.int64) if banded else [])
+            least = _minima(distinct) if banded and len(distinct) else None
+            keys.append([] if least is None else _band_keys(least).view(np.int64))
+            minima.append(b"" if least is None else ((least * _STEP) >> np.uint64(56)).astype(np.uint8).tobytes())
         signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, prints)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), signed[0], pa.array(n, pa.int32()), signed[1], pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "row", "node", "n", "print", "keys"],
+            [batch.column(0), batch.column(1), signed[0], pa.array(n, pa.int32()), signed[1], pa.array(keys, pa.list_(pa.int64())),
+             pa.array(minima, pa.binary())],
+            names=["doc_id", "row", "node", "n", "print", "keys", "minima"],
         )
 
 
@@ -236,9 +244,13 @@ def _alike(least: np.ndarray, most: np.ndarray, similarity: float) -> np.ndarray
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], similarity: float, distance: int, neighbours: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of one cell and of different roots: neighbours only, or all; rows come ordered by ``cell``, size and node."""
+    """Pairs of one cell and of different roots: neighbours only, or all; rows come ordered by ``cell``.
 
-    def found(cell, node, n, prints, root) -> Iterator[pa.RecordBatch]:
+    With minima, a pair needs as many equal ones as pairs that alike have, and of
+    all bands that it shares only the lowest names it.
+    """
+
+    def found(cell, node, n, prints, root, band, minima) -> Iterator[pa.RecordBatch]:
         left = np.arange(len(cell) - 1)
         shift = 1
         while len(left):
@@ -247,21 +259,32 @@ def _candidates(batches: Iterator[pa.RecordBatch], similarity: float, distance:
             right = left + shift
             good = (root[left] != root[right]) & (node[left] != node[right]) & _alike(n[left], n[right], similarity)
             good &= np.bitwise_count(prints[left] ^ prints[right]) <= distance
-            a, b = node[left[good]], node[right[good]]
+            one, two = left[good], right[good]
+            if minima.shape[1] and len(one):
+                equal = minima[one] == minima[two]
+                likely = equal.sum(axis=1) >= LEAST_SHARED
+                if not neighbours:
+                    likely &= equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band[one]
+                one, two = one[likely], two[likely]
+            a, b = node[one], node[two]
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
             shift += 1
             if neighbours:
                 return
 
-    held = [np.empty(0, np.int64) for _ in range(5)]
+    held = None
     for batch in batches:
-        held = [np.concatenate((h, c.to_numpy(zero_copy_only=False))) for h, c in zip(held, batch.columns)]
-        done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last cell may go on in the next batch
+        if not batch.num_rows:
+            continue
+        minima = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        new = [*(c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]), minima]
+        held = new if held is None else [np.concatenate(pair) for pair in zip(held, new)]
+        done = int(np.searchsorted(held[0], held[0][-1]))  # the last cell may go on in the next batch
         if done:
             yield from found(*[h[:done] for h in held])
             held = [h[done:] for h in held]
-    if len(held[0]):
+    if held is not None:
         yield from found(*held)
 
 
@@ -281,34 +304,40 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     """doc_id, row key and ``root`` of every row: rows of one root are connected by texts of that similarity.
 
     Similarity is that of the sets of distinct shingles, and every link is verified on whole sets. Candidates share
-    a band of minima, by default, or lie within ``distance`` bits and share a SimHash key. Neighbours of each cell are
-    verified first, then all of its pairs that are not connected by then, so that large groups of copies need few pairs.
+    a band of minima and most minima, by default, or lie within ``distance`` bits and share a SimHash key. Neighbours of
+    each cell are verified first, in order of size and then of minima, then all of its pairs that are not connected by
+    then, so that large groups of copies need few pairs.
     """
     banded = distance is None
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), text).mapInArrow(
             lambda batches: _described(batches, words, banded),
-            "doc_id long, row long, node long, n int, print long, keys array<long>",
+            "doc_id long, row long, node long, n int, print long, keys array<long>, minima binary",
         ),
         "shingle-keys",
     )
     # Rows of a node have equal sets, hence equal keys of minima; their prints may differ, as prints count repeats.
     by = ["node"] if banded else ["node", "print"]
     keys = F.col("keys") if banded else block_keys(distance, blocks)
-    keyed = rows.dropDuplicates(by).select("node", F.col("n").cast("long").alias("n"), "print", F.explode(keys).alias("key"))
+    keyed = rows.dropDuplicates(by).select(
+        "node", F.col("n").cast("long").alias("n"), "print", "minima", F.posexplode(keys).alias("band", "key")
+    )
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n_key")).where("n_key > 1")
     cells = F.ceil(F.col("n_key") / cell).cast("int")
     own = F.pmod(F.hash("node", "print"), cells)
     other = F.explode(F.sequence(F.lit(0), cells - 1))
-    spread = keyed.join(sizes.hint("merge"), "key").select("node", "n", "print", "key", own.alias("own"), other.alias("other"))
+    spread = keyed.join(sizes.hint("merge"), "key").select(
+        "node", "n", "print", "band", "minima", "key", own.alias("own"), other.alias("other")
+    )
     cell_of = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    placed = written(spread.select(cell_of.alias("cell"), "node", "n", "print"), "shingle-cells")
+    placed = written(spread.select(cell_of.alias("cell"), "node", "n", "print", F.col("band").cast("long").alias("band"), "minima"), "shingle-cells")
 
     reach = 64 if banded else distance
 
-    def pairs(rooted: DataFrame, neighbours: bool) -> DataFrame:
-        return rooted.repartition("cell").sortWithinPartitions("cell", "n", "node").mapInArrow(
+    def pairs(rooted: DataFrame, order: list[str], neighbours: bool) -> DataFrame:
+        rows = rooted.select("cell", "node", "n", "print", "root", "band", "minima").repartition("cell")
+        return rows.sortWithinPartitions("cell", *order).mapInArrow(
             lambda batches: _candidates(batches, similarity, reach, neighbours), "a long, b long"
         )
 
@@ -317,11 +346,14 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     held = docs.select(_row_key().alias("row"), text.alias("text")).join(holders, "row").dropDuplicates(["node"])
     sets = written(held.select("node", "text").mapInArrow(lambda batches: _shingled(batches, words), "node long, set array<long>"), "shingle-sets")
 
-    near = written(_verified(pairs(placed.withColumn("root", F.col("node")), True), sets, similarity), "near-links")
-    roots = components(near)
-    rooted = placed.join(roots, "node", "left").select("cell", "node", "n", "print", F.coalesce("root", "node").alias("root"))
-    rest = written(_verified(pairs(rooted, False), sets, similarity), "far-links")
-    grouped = components(near.unionByName(rest))
+    found, rooted = None, placed.withColumn("root", F.col("node"))
+    for order in (["n", "node"], ["minima", "node"]):
+        near = written(_verified(pairs(rooted, order, True), sets, similarity), "near-links")
+        found = near if found is None else found.unionByName(near)
+        roots = written(components(found), "roots")
+        rooted = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = written(_verified(pairs(rooted, ["n", "node"], False), sets, similarity), "far-links")
+    grouped = components(found.unionByName(rest))
     return rows.select("doc_id", "row", "node").join(grouped, "node", "left").select(
         "doc_id", "row", F.coalesce("root", "node").alias("root")
     )
@@ -329,7 +361,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
 def one_of_each(docs: DataFrame, words: int = WORDS, **parameters) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest id, null first, then the smallest row key."""
-    rows = written(near_copies(docs, words, **parameters), "near-copies")
+    rows = written_alone(docs.sparkSession, lambda: near_copies(docs, words, **parameters), "near-copies")
     chosen = rows.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("one")).select(F.col("one.row").alias("row"))
     times = rows.groupBy("row").agg(F.count("*").alias("times"))
     chosen = written(chosen.join(times, "row"), "chosen")
