@@ -62,6 +62,17 @@ class Boosting:
         return self
 
 
+def best_rounds(errors: list[float], patience: int = PATIENCE) -> int:
+    """The round of least error before ``patience`` rounds in a row bring no gain."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 @dataclass
 class Fit:
     """One model in growth: all rows but those of ``fold``; with ``stop`` a tenth of them decides the rounds."""
@@ -77,7 +88,7 @@ class Fit:
 
     def best(self) -> int:
         """Trees to keep: those up to the least held-out error."""
-        return int(np.argmin(self.errors)) + 1 if self.errors else len(self.trees)
+        return best_rounds(self.errors, len(self.errors)) if self.errors else len(self.trees)
 
     def plain(self) -> tuple:
         """What a task needs to know of this fit."""

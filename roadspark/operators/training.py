@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspark import schema as S
-from roadspark.operators.boosting import PATIENCE, Boosting, Fit, as_model, grow, scored
+from roadspark.operators.boosting import PATIENCE, Boosting, Fit, as_model, best_rounds, grow, scored  # noqa: F401
 from roadspark.operators.metrics import clipped, cv_leaderboard, regression_metrics
 from roadspark.operators.sampling import fold_column, with_folds
 from roadspark.runtime import use_checkpoints, written
