@@ -20,7 +20,7 @@ belong together only through pairs whose sets of shingles are similar.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -37,11 +37,15 @@ WORDS = 4
 DISTANCE = 4
 BLOCKS = 6
 CELL = 1024
+# Cells of long texts hold fewer: so many shingles a row of a full cell, 16 MB of sets.
+CELL_SHINGLES = 2048
 SIMILARITY = 0.8
 # Texts that are 0.8 alike share none of 32 bands of 4 minima with probability (1 - 0.8 ** 4) ** 32, 5e-8.
 BANDS, ROWS = 32, 4
 # Of 128 minima, pairs 0.8 alike share 102 on average, and fewer than 77 with probability below 1e-7.
 LEAST_SHARED = 77
+# The first bands of each round; seven in ten pairs 0.8 alike meet in the first round already.
+_ROUNDS = (0, 2, 8)
 _SEED = 42
 _RANDOM = np.random.default_rng(_SEED).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 _FLIP, _ODD = _RANDOM[0], _RANDOM[1] | np.uint64(1)
@@ -219,9 +223,14 @@ def _described(batches: Iterator[pa.RecordBatch], words: int, banded: bool) -> I
             node.append(xxhash.xxh64_intdigest(distinct.tobytes(), _SEED) if len(distinct) else 0)
             n.append(len(distinct))
             prints.append(_print(hashes))
-            least = _minima(distinct) if banded and len(distinct) else None
-            keys.append([] if least is None else _band_keys(least).view(np.int64))
-            minima.append(b"" if least is None else ((least * _STEP) >> np.uint64(56)).astype(np.uint8).tobytes())
+            if banded and len(distinct):
+                least = _minima(distinct)
+                bands = _band_keys(least)
+                keys.append(bands.view(np.int64))
+                minima.append(((least * _STEP) >> np.uint64(56)).astype(np.uint8).tobytes() + (bands >> np.uint64(48)).astype("<u2").tobytes())
+            else:
+                keys.append([])
+                minima.append(b"")
         signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, prints)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), signed[0], pa.array(n, pa.int32()), signed[1], pa.array(keys, pa.list_(pa.int64())),
@@ -243,70 +252,111 @@ def _alike(least: np.ndarray, most: np.ndarray, similarity: float) -> np.ndarray
     return np.minimum(least, most) >= similarity * np.maximum(least, most) - 1e-9
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], similarity: float, distance: int, neighbours: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of one cell and of different roots: neighbours only, or all; rows come ordered by ``cell``.
-
-    With minima, a pair needs as many equal ones as pairs that alike have, and of
-    all bands that it shares only the lowest names it.
-    """
-
-    def found(cell, node, n, prints, root, band, minima) -> Iterator[pa.RecordBatch]:
-        left = np.arange(len(cell) - 1)
-        shift = 1
-        while len(left):
-            left = left[left + shift < len(cell)]
-            left = left[cell[left] == cell[left + shift]]
-            right = left + shift
-            good = (root[left] != root[right]) & (node[left] != node[right]) & _alike(n[left], n[right], similarity)
-            good &= np.bitwise_count(prints[left] ^ prints[right]) <= distance
-            one, two = left[good], right[good]
-            if minima.shape[1] and len(one):
-                equal = minima[one] == minima[two]
-                likely = equal.sum(axis=1) >= LEAST_SHARED
-                if not neighbours:
-                    likely &= equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band[one]
-                one, two = one[likely], two[likely]
-            a, b = node[one], node[two]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
-            shift += 1
-            if neighbours:
-                return
-
+def _by_cell(batches: Iterator[pa.RecordBatch], columns: Callable[[pa.RecordBatch], list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """The columns of one cell after the other; rows come ordered by their first column, ``cell``."""
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        minima = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-        new = [*(c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]), minima]
+        new = columns(batch)
         held = new if held is None else [np.concatenate(pair) for pair in zip(held, new)]
-        done = int(np.searchsorted(held[0], held[0][-1]))  # the last cell may go on in the next batch
-        if done:
-            yield from found(*[h[:done] for h in held])
-            held = [h[done:] for h in held]
+        starts = np.flatnonzero(np.diff(held[0], prepend=held[0][0] - 1))
+        for start, stop in zip(starts, starts[1:]):
+            yield [h[start:stop] for h in held]
+        held = [h[starts[-1] :] for h in held]  # the last cell may go on in the next batch
     if held is not None:
-        yield from found(*held)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose sets are as similar as that: shared shingles over all shingles of both."""
-    one = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
-    two = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-    both = pairs.distinct().join(one.hint("merge"), "a").join(two.hint("merge"), "b")
-    sizes = F.size("x") + F.size("y")
-    return (
-        both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), sizes.alias("sizes"))
-        .where(F.col("common") >= F.lit(similarity) * (F.col("sizes") - F.col("common")) - F.lit(1e-9)).select("a", "b")
-    )
+        yield held
+
+
+def _meeting(batches: Iterator[pa.RecordBatch], similarity: float, distance: int) -> Iterator[pa.RecordBatch]:
+    """Rows of each cell that have a candidate in it; rows come ordered by ``cell`` and ``n``.
+
+    With minima, a byte of each and two of each band's key, a candidate has as many equal ones as pairs that
+    alike have, and of all bands that a pair shares only the lowest names it. In a cell of two
+    parts (``side`` is not negative) only rows of different parts meet.
+    """
+
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        minima = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        return [*(c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]), minima]
+
+    for cell, band, side, node, n, prints, minima in _by_cell(batches, columns):
+        ends = np.searchsorted(n, n / similarity + 1e-6, "right")
+        meets = np.zeros(len(n), bool)
+        digests = np.ascontiguousarray(minima[:, BANDS * ROWS :]).view("<u2")
+        for at in range(len(n) - 1):
+            last = ends[at]
+            likely = (node[at] != node[at + 1 : last]) & _alike(n[at], n[at + 1 : last], similarity)
+            likely &= (side[at] < 0) | (side[at] != side[at + 1 : last])
+            likely &= np.bitwise_count(prints[at] ^ prints[at + 1 : last]) <= distance
+            if minima.shape[1] and likely.any():
+                one = at + 1 + np.flatnonzero(likely)
+                equal = minima[at, : BANDS * ROWS] == minima[one, : BANDS * ROWS]
+                shared = equal.reshape(-1, BANDS, ROWS).all(axis=2) & (digests[at] == digests[one])
+                likely[one - at - 1] = (np.count_nonzero(equal, axis=1) >= LEAST_SHARED) & (shared.argmax(axis=1) == band[at])
+            if likely.any():
+                meets[at] = True
+                meets[at + 1 : last] |= likely
+        if meets.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[meets]) for x in (cell, band, side, node)], names=["cell", "band", "side", "node"]
+            )
+
+
+def _compared(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the links between different roots in each cell; rows come ordered by ``cell``.
+
+    One set is compared at a time with all that are not yet connected to it, the
+    sets of the commonest shingles first: they link most of a large group at once.
+    """
+
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        sets = np.empty(batch.num_rows, object)
+        sets[:] = [x.values.to_numpy() for x in batch.column(4)]
+        return [*(c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]), sets]
+
+    for cell, side, node, root, sets in _by_cell(batches, columns):
+        full = np.fromiter((len(x) > 0 for x in sets), bool, len(sets))
+        side, node, sets = side[full], node[full], sets[full]
+        if len(node) < 2:
+            continue
+        group = np.unique(root[full], return_inverse=True)[1]
+        size = np.array([len(x) for x in sets])
+        starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+        values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        common = np.add.reduceat(np.bincount(ids)[ids], starts) / size
+        mark, left = np.zeros(len(values), np.int32), np.ones(len(node), bool)
+        a, b = [], []
+        for at in np.argsort(-common, kind="stable"):
+            left[at] = False
+            open_ = np.flatnonzero(
+                left & (group != group[at]) & _alike(size[at], size, similarity) & ((side[at] < 0) | (side != side[at]))
+            )
+            if not len(open_):
+                continue
+            own = ids[starts[at] : starts[at] + size[at]]
+            mark[own] = 1
+            if 2 * size[open_].sum() > len(ids):
+                shared = np.add.reduceat(mark[ids], starts)[open_]
+            else:
+                shared = np.array([np.count_nonzero(mark[ids[starts[o] : starts[o] + size[o]]]) for o in open_])
+            mark[own] = 0
+            linked = open_[shared >= similarity * (size[at] + size[open_] - shared) - 1e-9]
+            groups, first = np.unique(group[linked], return_index=True)
+            a.extend([node[at]] * len(first))
+            b.extend(node[linked[first]])
+            group[np.isin(group, groups)] = group[at]
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in (a, b)], names=["a", "b"])
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, distance: int | None = None, blocks: int = BLOCKS, cell: int = CELL) -> DataFrame:
     """doc_id, row key and ``root`` of every row: rows of one root are connected by texts of that similarity.
 
     Similarity is that of the sets of distinct shingles, and every link is verified on whole sets. Candidates share
-    a band of minima and most minima, by default, or lie within ``distance`` bits and share a SimHash key. Neighbours of
-    each cell are verified first, in order of size and then of minima, then all of its pairs that are not connected by
-    then, so that large groups of copies need few pairs.
+    a band of minima and most minima, by default, or lie within ``distance`` bits and share a SimHash key. No pairs are
+    written: a row goes with its set to the cells where it has a candidate, cells are bounded in rows and shingles, and
+    each returns a spanning forest. Bands are taken in three rounds; cells whose rows are connected by then are left out.
     """
     banded = distance is None
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -323,38 +373,50 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     keyed = rows.dropDuplicates(by).select(
         "node", F.col("n").cast("long").alias("n"), "print", "minima", F.posexplode(keys).alias("band", "key")
     )
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n_key")).where("n_key > 1")
-    cells = F.ceil(F.col("n_key") / cell).cast("int")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n_key"), F.sum("n").alias("shingles")).where("n_key > 1")
+    cells = F.ceil(F.greatest(F.col("n_key") / cell, F.col("shingles") / (cell * CELL_SHINGLES))).cast("int")
     own = F.pmod(F.hash("node", "print"), cells)
     other = F.explode(F.sequence(F.lit(0), cells - 1))
     spread = keyed.join(sizes.hint("merge"), "key").select(
         "node", "n", "print", "band", "minima", "key", own.alias("own"), other.alias("other")
     )
-    cell_of = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    placed = written(spread.select(cell_of.alias("cell"), "node", "n", "print", F.col("band").cast("long").alias("band"), "minima"), "shingle-cells")
-
+    placed = spread.select(
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+        F.col("band").cast("long").alias("band"),
+        F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).cast("long").alias("side"),
+        "node", "n", "print", "minima",
+    )
     reach = 64 if banded else distance
+    meeting = written(
+        placed.repartition("cell").sortWithinPartitions("cell", "n", "node").mapInArrow(
+            lambda batches: _meeting(batches, similarity, reach), "cell long, band long, side long, node long"
+        ),
+        "meeting",
+    )
 
-    def pairs(rooted: DataFrame, order: list[str], neighbours: bool) -> DataFrame:
-        rows = rooted.select("cell", "node", "n", "print", "root", "band", "minima").repartition("cell")
-        return rows.sortWithinPartitions("cell", *order).mapInArrow(
-            lambda batches: _candidates(batches, similarity, reach, neighbours), "a long, b long"
-        )
-
-    wanted = placed.select("node").distinct()
+    wanted = meeting.select("node").distinct()
     holders = rows.join(wanted, "node").groupBy("node").agg(F.min("row").alias("row"))
     held = docs.select(_row_key().alias("row"), text.alias("text")).join(holders, "row").dropDuplicates(["node"])
     sets = written(held.select("node", "text").mapInArrow(lambda batches: _shingled(batches, words), "node long, set array<long>"), "shingle-sets")
 
-    found, rooted = None, placed.withColumn("root", F.col("node"))
-    for order in (["n", "node"], ["minima", "node"]):
-        near = written(_verified(pairs(rooted, order, True), sets, similarity), "near-links")
+    found, roots = None, None
+    for low, high in zip(_ROUNDS, [*_ROUNDS[1:], None]):
+        some = meeting.where(F.col("band") >= low)
+        some = some if high is None else some.where(F.col("band") < high)
+        if roots is None:
+            rooted = some.withColumn("root", F.col("node"))
+        else:
+            rooted = some.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rooted.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        rooted = rooted.join(apart.select("cell"), "cell", "left_semi")
+        dealt = rooted.join(sets.hint("merge"), "node").select("cell", "side", "node", "root", "set")
+        near = dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(
+            lambda batches: _compared(batches, similarity), "a long, b long"
+        )
+        near = written(near, "near-links")
         found = near if found is None else found.unionByName(near)
         roots = written(components(found), "roots")
-        rooted = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = written(_verified(pairs(rooted, ["n", "node"], False), sets, similarity), "far-links")
-    grouped = components(found.unionByName(rest))
-    return rows.select("doc_id", "row", "node").join(grouped, "node", "left").select(
+    return rows.select("doc_id", "row", "node").join(roots, "node", "left").select(
         "doc_id", "row", F.coalesce("root", "node").alias("root")
     )
 
