@@ -87,7 +87,7 @@ def partial_models(s, d):
     """Two models are saved, three are asked for; test error of those that load."""
     own = P.study(s, d)
     path = new_path(s, "models")
-    save_models(s, {n: own.models[n] for n in ("linear", "boosted_full")}, path)
+    save_models(s, own.models(["linear", "boosted_full"]), path)
     models = load_models(s, path, ["linear", "boosted_full", "boosted_columns"])
     scored = T.predict(own.test_rows, models)
     long = scored.select("Index", "demand", *[F.col(f"pred_{n}").alias(n) for n in models]).unpivot(

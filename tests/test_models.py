@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import DATA
 from roadspark.operators import attribution, ensemble, metrics, ranking, training, tuning
 from roadspark.operators.scoring import Scorer, load_models, save_models
 from roadspark.sources.requests import read_requests
@@ -261,3 +262,27 @@ def test_failed_jobs_are_not_swallowed(monkeypatch, assembled):
         training.train_final(assembled, estimators())
     with pytest.raises(RuntimeError):
         tuning.tune(assembled, {"boosted": {"rounds": ("int", 2, 2)}}, trials=1, k=2)
+
+
+def test_queries_fit_only_the_models_they_use(spark, assembled, sides, features, monkeypatch):
+    from roadspark.plans import models as plans
+    from roadspark.plans import sources
+
+    asked = []
+
+    def train(rows, estimators, **options):
+        asked.append(list(estimators))
+        return {n: training.fit(training.linear_regression(), rows) for n in estimators}, {}
+
+    own = plans.Study(spark, DATA)
+    own.__dict__ |= {"features": features, "rows": assembled}
+    monkeypatch.setattr(plans, "study", lambda s, d: own)
+    monkeypatch.setattr(plans.T, "train_final", train)
+    assert [r.model for r in plans.QUERIES["M02_linear_regression"](spark, DATA).collect()] == ["linear"]
+    assert asked == [["linear"]]
+    assert sorted(r.model for r in sources.partial_models(spark, DATA).collect()) == ["boosted_full", "linear"]
+    assert asked == [["linear"], ["boosted_full"]]
+    assert plans.QUERIES["M04_boosted_trees"](spark, DATA).count() == 3
+    assert asked[2:] == [["boosted_bagged", "boosted_columns"]]
+    assert {r.model for r in plans.final_models(spark, DATA).collect()} == {"linear", "random_forest", *training.BOOSTED}
+    assert asked[3:] == [["random_forest"]]

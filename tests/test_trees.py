@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -93,6 +94,47 @@ def test_trees_do_not_depend_on_the_layout(spark, table):
                 assert s["value"] == pytest.approx(t["value"], abs=1e-9)
 
 
+def test_rows_of_a_node_travel_together():
+    """A task sends one record per block and small node, not one per row."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (500, 4)).astype(np.uint8)
+    y = rng.normal(size=500)
+    columns = [pa.array([r.tobytes() for r in x], pa.binary()), y, np.full(500, -1, np.int32), np.zeros(500, bool), np.arange(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bins", "y", "fold", "held", "mark"])
+    blocks = list(boosting._blocked(iter([batch, batch]), [0.25, 0.5]))
+    params = training.boosted(1, 3)
+    tree = boosting._empty_tree(3)
+    tree["feature"][0], tree["bin"][0] = 2, 4
+    active = {1: (0, [], tree, np.array([], np.int64), np.array([1, 2]), False)}
+    work = boosting._Pass([(params, None, False)] * 2, active, 4, 9, 2.0**20)
+    steps = [r for b in boosting._visit(iter(blocks), work) for r in b.to_pylist()]
+    assert [r["node"] for r in steps] == [1, 2, 1, 2] and {r["job"] for r in steps} == {1}
+    right = x[:, 2] > 4
+    for r, own in zip(steps, (~right, right) * 2):
+        assert (np.frombuffer(r["data"], np.uint8).reshape(4, -1).T == x[own]).all() and r["n"] == own.sum()
+        assert (np.frombuffer(r["g"]) == np.rint((y[own] - 0.5) * 2.0**20)).all()
+
+
+def test_larger_children_are_differences():
+    """Growing from a node's rows gives the splits that counting every node anew gives."""
+    rng = np.random.default_rng(4)
+    x, g = rng.integers(0, 12, (5, 700)).astype(np.uint8), np.rint(rng.normal(size=700) * 2.0**20)
+    params, allowed = training.boosted(1, 5, min_leaf=3, l2=1.0), np.ones(5, bool)
+    found = {f[0]: f[1:] for f in boosting._grow_here(0, x, g, allowed, params, 2.0**20, 12)}
+    rows = {0: np.arange(700)}
+    while rows:
+        node, own = rows.popitem()
+        split = found.pop(node)
+        assert split[4] == len(own) and split[3] == g[own].sum()
+        if (node + 1).bit_length() <= 5:
+            hist = boosting._histogram(np.zeros(len(own), int), 1, x[:, own], g[own], 12)
+            assert split == boosting._best_splits(hist, allowed, params, 2.0**20)[0]
+        if split[0] >= 0:
+            right = x[split[0], own] > split[1]
+            rows |= {2 * node + 1: own[~right], 2 * node + 2: own[right]}
+    assert not found
+
+
 def test_growth_stops_after_the_best_round(spark, table):
     noise = table.withColumn("demand", F.rand(5))
     fits = [boosting.Fit(training.boosted(200, 6, rate=0.5), fold, True) for fold in range(3)]
