@@ -28,8 +28,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts whose five-word shingles are 0.8 alike or more.
 
-    Candidates share a band of minima: SimHash at eight bits misses many such
-    pairs. Every link is verified on the whole sets of shingles.
+    Candidates are pairs within four bits of SimHash, found by blocks, and, as SimHash
+    misses many such pairs, those that share a band of minima. Every link is verified
+    on the whole sets of shingles.
     """
     return simhash.one_of_each(docs, words=5, similarity=0.8)
 

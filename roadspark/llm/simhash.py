@@ -44,8 +44,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 # Of 128 minima, pairs 0.8 alike share 102 on average, and fewer than 77 with probability below 1e-7.
 LEAST_SHARED = 77
-# The first bands of each round; seven in ten pairs 0.8 alike meet in the first round already.
-_ROUNDS = (0, 2, 8)
+# The first bands of each round. Candidates by SimHash have negative bands; of the others, seven in
+# ten pairs 0.8 alike meet in the first two bands already.
+_ROUNDS = (-64, 0, 2, 8)
 _SEED = 42
 _RANDOM = np.random.default_rng(_SEED).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 _FLIP, _ODD = _RANDOM[0], _RANDOM[1] | np.uint64(1)
@@ -350,15 +351,44 @@ def _compared(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
             yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in (a, b)], names=["a", "b"])
 
 
+def _cells(distinct: DataFrame, keys: Column, first: int, cell: int) -> DataFrame:
+    """``cell, band, side`` and the columns of ``distinct`` for rows that share a key; ``first`` numbers the first key.
+
+    Keys are counted on narrow rows; minima are attached to those that share one.
+    """
+    keyed = distinct.select("node", "print", F.col("n").cast("long").alias("n"), F.posexplode(keys).alias("band", "key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n_key"), F.sum("n").alias("shingles")).where("n_key > 1")
+    cells = F.ceil(F.greatest(F.col("n_key") / cell, F.col("shingles") / (cell * CELL_SHINGLES))).cast("int")
+    own = F.pmod(F.hash("node", "print"), cells)
+    other = F.explode(F.sequence(F.lit(0), cells - 1))
+    spread = keyed.join(sizes.hint("merge"), "key").select("node", "n", "print", "band", "key", own.alias("own"), other.alias("other"))
+    return spread.select(
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+        (F.col("band") + first).cast("long").alias("band"),
+        F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).cast("long").alias("side"),
+        "node", "n", "print",
+    )
+
+
+def _met(placed: DataFrame, similarity: float, reach: int) -> DataFrame:
+    return placed.repartition("cell").sortWithinPartitions("cell", "n", "node").mapInArrow(
+        lambda batches: _meeting(batches, similarity, reach), "cell long, band long, side long, node long"
+    )
+
+
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, distance: int | None = None, blocks: int = BLOCKS, cell: int = CELL) -> DataFrame:
     """doc_id, row key and ``root`` of every row: rows of one root are connected by texts of that similarity.
 
-    Similarity is that of the sets of distinct shingles, and every link is verified on whole sets. Candidates share
-    a band of minima and most minima, by default, or lie within ``distance`` bits and share a SimHash key. No pairs are
-    written: a row goes with its set to the cells where it has a candidate, cells are bounded in rows and shingles, and
-    each returns a spanning forest. Bands are taken in three rounds; cells whose rows are connected by then are left out.
+    Similarity is that of the sets of distinct shingles, and every link is verified on whole sets. Candidates lie within
+    ``distance`` bits and share a SimHash key. By default that is ``DISTANCE``, and pairs that SimHash misses are candidates
+    too if they share a band of minima and most minima. No pairs are written: a row goes with its set to the cells where it
+    has a candidate, cells are bounded in rows and shingles, and each returns a spanning forest. SimHash keys come first and
+    bands in three rounds after them; cells whose rows are connected by then are left out.
     """
     banded = distance is None
+    reach = DISTANCE if banded else distance
+    if not reach < blocks:
+        raise ValueError("there must be more blocks than differing bits")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row"), text).mapInArrow(
@@ -368,31 +398,14 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
         "shingle-keys",
     )
     # Rows of a node have equal sets, hence equal keys of minima; their prints may differ, as prints count repeats.
-    by = ["node"] if banded else ["node", "print"]
-    keys = F.col("keys") if banded else block_keys(distance, blocks)
-    keyed = rows.dropDuplicates(by).select(
-        "node", F.col("n").cast("long").alias("n"), "print", "minima", F.posexplode(keys).alias("band", "key")
-    )
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n_key"), F.sum("n").alias("shingles")).where("n_key > 1")
-    cells = F.ceil(F.greatest(F.col("n_key") / cell, F.col("shingles") / (cell * CELL_SHINGLES))).cast("int")
-    own = F.pmod(F.hash("node", "print"), cells)
-    other = F.explode(F.sequence(F.lit(0), cells - 1))
-    spread = keyed.join(sizes.hint("merge"), "key").select(
-        "node", "n", "print", "band", "minima", "key", own.alias("own"), other.alias("other")
-    )
-    placed = spread.select(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
-        F.col("band").cast("long").alias("band"),
-        F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).cast("long").alias("side"),
-        "node", "n", "print", "minima",
-    )
-    reach = 64 if banded else distance
-    meeting = written(
-        placed.repartition("cell").sortWithinPartitions("cell", "n", "node").mapInArrow(
-            lambda batches: _meeting(batches, similarity, reach), "cell long, band long, side long, node long"
-        ),
-        "meeting",
-    )
+    placed = _cells(rows.dropDuplicates(["node", "print"]), block_keys(reach, blocks), _ROUNDS[0] if banded else 0, cell)
+    met = _met(placed.withColumn("minima", F.lit(b"")), similarity, reach)
+    if banded:
+        distinct = rows.dropDuplicates(["node"])
+        placed = _cells(distinct, F.col("keys"), 0, cell).join(distinct.select("node", "minima").hint("merge"), "node")
+        placed = placed.select("cell", "band", "side", "node", "n", "print", "minima")
+        met = met.unionByName(_met(placed, similarity, 64))
+    meeting = written(met, "meeting")
 
     wanted = meeting.select("node").distinct()
     holders = rows.join(wanted, "node").groupBy("node").agg(F.min("row").alias("row"))
@@ -400,7 +413,8 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     sets = written(held.select("node", "text").mapInArrow(lambda batches: _shingled(batches, words), "node long, set array<long>"), "shingle-sets")
 
     found, roots = None, None
-    for low, high in zip(_ROUNDS, [*_ROUNDS[1:], None]):
+    starts = _ROUNDS if banded else _ROUNDS[1:]
+    for low, high in zip(starts, [*starts[1:], None]):
         some = meeting.where(F.col("band") >= low)
         some = some if high is None else some.where(F.col("band") < high)
         if roots is None:

@@ -267,6 +267,17 @@ def test_near_copies_equal_brute_force(spark, texts, cell):
 
 
 
+def test_near_copy_stage_uses_simhash(spark, monkeypatch):
+    """Without any minima in common, texts within four bits are still found and verified."""
+    words = [f"w{i}" for i in range(400)]
+    one, other = " ".join(words), " ".join([*words[:-1], "end"])
+    assert (simhash.fingerprint(one, 5) ^ simhash.fingerprint(other, 5)).bit_count() <= 4
+    monkeypatch.setattr(simhash, "_band_keys", lambda least: np.zeros(0, np.uint64))
+    table = spark.createDataFrame([(1, one), (2, other), (3, "some other text of a few words")], "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, table, DATA).collect()) == [1, 3]
+
+
 # ---- automaton
 
 
