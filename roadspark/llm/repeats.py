@@ -11,7 +11,8 @@ by doubling only where suffixes are still tied, common prefixes of neighbours
 are carried along each context, and a passage repeats if it shares its whole
 length with a neighbour. An anchor with very many different contexts is spread
 over several shards; the sorted passages of two shards are merged by binary
-search.
+search. A context that stands in thousands of places meets nothing: its places
+are marked where the text is cut, neighbours as one range.
 
 The result is that of comparing all passages. Null and empty texts, and texts
 shorter than a passage, lose nothing. Repeated rows are repeats of each other.
@@ -42,6 +43,11 @@ PIECE = 1 << 20
 SHARD = 1 << 21
 # Contexts of one anchor in one part; more are spread over several.
 PART = 4096
+# Places from which an anchor or a context counts as frequent, and how many of each are handled as such.
+FREQUENT = 4096
+FREQUENT_AT_MOST = 1000
+_SPAN = "key long, size long, first long, last long"
+_CONTEXT = "anchor long, whole long, key long, size long, at long, starts int"
 _BASE = 0x9E3779B97F4A7C15 | 5
 _MASK = (1 << 64) - 1
 
@@ -352,27 +358,68 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part: int = PART) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, part: int = PART, frequent: int = FREQUENT
+) -> DataFrame:
     """key, size and ``spans`` (array of byte ranges, unordered, overlapping) of texts that hold repeats."""
     if not 8 <= gram <= window:
         raise ValueError("a gram has 8 bytes at least and fits into the window")
     keyed = _keyed(docs).select("key", "size", "text")
-    contexts = keyed.where(F.col("size") >= window).mapInArrow(
-        lambda batches: _contexts(batches, window, gram),
-        "anchor long, whole long, key long, size long, at long, starts int",
-    )
+    contexts = keyed.where(F.col("size") >= window).mapInArrow(lambda batches: _contexts(batches, window, gram), _CONTEXT)
     # Written first, so that both sides of the join are plain shuffles and a skewed one can be split.
-    again = written(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
-    repeated = written(contexts.join(again, "anchor"), "contexts")
+    again = written(contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+    # Frequent anchors leave the join, in the order of their texts.
+    top = [r["anchor"] for r in again.where(F.col("n") >= frequent).orderBy(F.desc("n"), "anchor").limit(FREQUENT_AT_MOST).collect()]
+    ordered = written(contexts.where(F.col("anchor").isin(top)), "frequent-contexts") if top else None
+    rest = ~F.col("anchor").isin(top)
+    repeated = written(contexts.where(rest).join(again.where(rest).select("anchor"), "anchor"), "contexts")
     kinds = written(
-        repeated.groupBy("anchor", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("key", "size", "at", "starts")).alias("one")),
+        (repeated.unionByName(ordered) if top else repeated).groupBy("anchor", "whole").agg(
+            F.count("*").alias("copies"), F.min(F.struct("key", "size", "at", "starts")).alias("one")
+        ),
         "context-kinds",
     )
+    spans = _partial(keyed, kinds, window, part)
+    if top:
+        most = kinds.where(F.col("copies") >= frequent).orderBy(F.desc("copies"), "anchor", "whole").limit(FREQUENT_AT_MOST)
+        # One anchor for each digest, so that a digest alone finds its kind.
+        often = {r["whole"]: r["anchor"] for r in most.select("anchor", "whole").collect()}
+        spans = spans.unionByName(ordered.mapInArrow(lambda batches: _ranges(batches, window, often), _SPAN))
+        repeated = repeated.unionByName(ordered.where(~_any_of(often)))
+        kinds = kinds.where(~_any_of(often))
     whole = repeated.join(kinds.where("copies > 1").select("anchor", "whole"), ["anchor", "whole"]).select(
         "key", "size", F.col("at").alias("first"), (F.col("at") + F.col("starts") + (window - 1)).alias("last")
     )
-    spans = whole.unionByName(_partial(keyed, kinds, window, part))
-    return spans.groupBy("key", "size").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    return whole.unionByName(spans).groupBy("key", "size").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+
+
+def _any_of(kinds: dict[int, int]) -> Column:
+    """Whether a row is of one of ``kinds``, anchors by digest."""
+    if not kinds:
+        return F.lit(False)
+    anchor = F.create_map(*[F.lit(x) for kind in kinds.items() for x in kind])[F.col("whole")]
+    return F.when(F.col("whole").isin(list(kinds)), anchor == F.col("anchor")).otherwise(False)
+
+
+def _ranges(batches: Iterator[pa.RecordBatch], window: int, kinds: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """Byte ranges of the contexts of ``kinds``; those that follow each other in a text are one range."""
+    whole = np.array(sorted(kinds), np.int64)
+    anchor = np.array([kinds[w] for w in whole.tolist()], np.int64)
+    for batch in batches:
+        if not len(whole) or not batch.num_rows:
+            continue
+        own_anchor, own, key, size, at, starts = (c.to_numpy() for c in batch.columns)
+        place = np.minimum(np.searchsorted(whole, own), len(whole) - 1)
+        found = (whole[place] == own) & (anchor[place] == own_anchor)
+        key, size, first = key[found], size[found], at[found]
+        last = first + starts[found] + (window - 1)
+        new = np.ones(len(first), bool)
+        new[1:] = (key[1:] != key[:-1]) | (size[1:] != size[:-1]) | (first[1:] <= first[:-1]) | (first[1:] > last[:-1])
+        head = np.flatnonzero(new)
+        ends = np.append(head[1:], len(first))[: len(head)] - 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in (key[head], size[head], first[head], last[ends])], names=["key", "size", "first", "last"]
+        )
 
 
 def _partial(keyed: DataFrame, kinds: DataFrame, window: int, part: int) -> DataFrame:
@@ -400,7 +447,7 @@ def _partial(keyed: DataFrame, kinds: DataFrame, window: int, part: int) -> Data
         "key", "size", "at", "starts", "copies", "bytes",
     )
     return placed.repartition("cell").sortWithinPartitions("cell").mapInArrow(
-        lambda batches: _sorted(batches, window), "key long, size long, first long, last long"
+        lambda batches: _sorted(batches, window), _SPAN
     )
 
 

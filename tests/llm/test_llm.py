@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from checking import database, differences
@@ -344,6 +345,27 @@ def test_repeats_inside_and_across_pieces(spark, monkeypatch):
     assert [tuple(r)[1:] for r in sorted(repeats.removal_report(table).collect())] == plain_removal(texts)
 
 
+def test_frequent_passages_meet_no_join(spark, monkeypatch):
+    """A passage of many texts is marked in place, as one range for each text; what is rarer beside it is still found."""
+    rng = np.random.default_rng(12)
+    word = lambda n: "".join(rng.choice(list("abcdé "), n))
+    often, rare = word(900), word(260)
+    texts = [word(int(rng.integers(0, 300))) + often[: int(rng.integers(700, 900))] + word(40) for _ in range(60)]
+    texts += [rare + word(300), word(20) + rare, often + often, word(50), None, "", texts[0], texts[0]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, cut = [], repeats._ranges
+    monkeypatch.setattr(repeats, "_any_of", lambda kinds, made=repeats._any_of: seen.append(len(kinds)) or made(kinds))
+    for frequent in (2, 20):
+        found = repeats.removal_report(table, frequent=frequent)
+        assert [tuple(r)[1:] for r in sorted(found.collect())] == plain_removal(texts)
+    assert min(seen) > 0
+    names = ["anchor", "whole", "key", "size", "at", "starts"]
+    rows = [(1, 7, 5, 999, 0, 50), (2, 8, 5, 999, 50, 60), (3, 9, 5, 999, 110, 10), (1, 7, 5, 999, 600, 50), (1, 7, 6, 999, 640, 50), (4, 7, 6, 999, 700, 9)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+    got = [tuple(r.values()) for b in cut(iter([batch]), 200, {7: 1, 8: 2}) for r in b.to_pylist()]
+    assert got == [(5, 999, 0, 309), (5, 999, 600, 849), (6, 999, 640, 889)]
+
+
 @pytest.mark.parametrize("before", [65536 - 186, 65536 - 150, 65536 - 100])
 def test_lone_run_across_65536(spark, before):
     """Equal grams on both sides of a multiple of 65536; the run stands nowhere else."""
