@@ -135,6 +135,44 @@ def test_larger_children_are_differences():
     assert not found
 
 
+def test_features_share_bytes():
+    """Few bytes hold all features; what is counted by byte gives the sums by bin, and rows go the ways of their bins."""
+    rng = np.random.default_rng(6)
+    sizes = [24, 2, 2, 64, 5, 1, 3, 2, 64, 7]
+    bundles = boosting.bundled(sizes)
+    assert len(bundles.totals) == 4 and max(bundles.totals) <= 256
+    bins = np.stack([rng.integers(0, s, 800) for s in sizes])
+    x = np.zeros((4, 800), np.int64)
+    np.add.at(x, bundles.byte, bins * bundles.step[:, None])
+    assert x.max() < 256 and (x[bundles.byte] // bundles.step[:, None] % bundles.size[:, None] == bins).all()
+    x, own, g = x.astype(np.uint8), bins.astype(np.uint8), np.rint(rng.normal(size=800) * 2.0**20)
+    node = rng.integers(0, 3, 800)
+    by_byte = boosting._histogram(node, 3, x, g, bundles.span)
+    assert (bundles.by_bin(by_byte, 64) == boosting._histogram(node, 3, own, g, 64)).all()
+    params, allowed = training.boosted(1, 5, l2=1.0), np.ones(len(sizes), bool)
+    found = boosting._grow_here(0, x, g, allowed, params, 2.0**20, 64, bundles)
+    assert found == boosting._grow_here(0, own, g, allowed, params, 2.0**20, 64)
+    tree = boosting._empty_tree(5)
+    for i, feature, cut, *_ in found:
+        tree["feature"][i], tree["bin"][i] = feature, cut
+    route = boosting._route(tree, bundles, 64, 0.1)
+    assert (boosting._follow(route, x, 5, bundles.cuts(64)) == boosting._walk(tree, own, 5)).all()
+    assert (boosting._follow(boosting._route(tree, bundles, 64, 0.1), x, 2, bundles.cuts(64)) == boosting._walk(tree, own, 2)).all()
+
+
+def test_nodes_are_dealt_evenly(spark):
+    """Every node has a group of its own, and the tasks about as many rows each."""
+    homes = boosting._homes(spark)
+    tasks = {slot: task for task, slots in enumerate(homes) for slot in slots}
+    sizes = {(job, node): 1000 + job for job in range(15) for node in (1, 2)} | {(job, -1): 0 for job in range(15)}
+    slots = boosting._dealt(sizes, homes)
+    assert len(set(slots.values())) == len(sizes)
+    load = [sum(sizes[k] for k, slot in slots.items() if tasks[slot] == task) for task in range(len(homes))]
+    assert max(load) - min(load) <= 1014
+    few = boosting._dealt(sizes, [[0], [1]])
+    assert len(set(few.values())) == len(sizes)
+
+
 def test_growth_stops_after_the_best_round(spark, table):
     noise = table.withColumn("demand", F.rand(5))
     fits = [boosting.Fit(training.boosted(200, 6, rate=0.5), fold, True) for fold in range(3)]
