@@ -185,6 +185,29 @@ def test_search_halves_stores_and_resumes(spark, assembled, tmp_path, monkeypatc
     assert tuning.load_parameters(spark, str(tmp_path / "p")) == best and set(best["boosted_full"]) == set(spaces["boosted_full"])
 
 
+def test_search_goes_on_from_grown_trees(spark, assembled, tmp_path, monkeypatch):
+    """Later rungs grow only the rounds that are new, and find what growing them anew finds."""
+    spaces = {"boosted_full": {"depth": ("int", 2, 3), "rounds": ("int", 12, 14), "rate": ("log", 0.05, 0.1)}}
+    options = dict(trials=2, k=2, first_rounds=4, keep=2, patience=50)
+    grow, begun = tuning.grow, []
+
+    def counted(rows, fits, *args, **kwargs):
+        begun.append([len(f.trees) for f in fits])
+        return grow(rows, fits, *args, **kwargs)
+
+    monkeypatch.setattr(tuning, "grow", counted)
+    went_on = tuning.tune(assembled, spaces, store=str(tmp_path / "a"), **options).orderBy("trial").collect()
+    assert begun[0] == [0] * 4 and begun[1] == [4] * 2
+
+    def anew(rows, fits, *args, **kwargs):
+        for f in fits:
+            f.trees, f.errors = [], []
+        return grow(rows, fits, *args, **kwargs)
+
+    monkeypatch.setattr(tuning, "grow", anew)
+    assert tuning.tune(assembled, spaces, store=str(tmp_path / "b"), **options).orderBy("trial").collect() == went_on
+
+
 def test_permutation_values_add_up(assembled, scorer, features):
     model = scorer.models["boosted_full"]
     phi, base = attribution.permutation_attribution(
