@@ -3,6 +3,7 @@
 Each stage reads what the one before it wrote. The first four keep the columns of
 ``documents``; the last returns packed pieces. Null ids, null and empty texts,
 repeated rows, empty tables and extra columns are handled as the operators say.
+Stages that run Python limit the session's batches to a few megabytes.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspark.llm import packing, pii, quality, repeats, simhash
-from roadspark.runtime import written
+from roadspark.runtime import small_batches, written
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -21,6 +22,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
+    small_batches(spark)
     network = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, network)
 
@@ -32,11 +34,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     misses many such pairs, those that share a band of minima. Every link is verified
     on the whole sets of shingles.
     """
+    small_batches(spark)
     return simhash.one_of_each(docs, words=5, similarity=0.8)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat."""
+    small_batches(spark)
     return _counted(repeats.without_repeats(docs))
 
 
@@ -49,6 +53,7 @@ def packing_by_powers_of_two(spark: SparkSession, docs: DataFrame, sf_dir: str)
     """Pieces of the remaining texts' tokens."""
     import public_tokenizers
 
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

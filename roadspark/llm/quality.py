@@ -222,14 +222,16 @@ def fit(docs: DataFrame, labels: DataFrame, **bounds) -> ByteNetwork | None:
 
 def _scored(batches: Iterator[pa.RecordBatch], network: ByteNetwork | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("_text").to_pylist()
+        texts = (batch.column("_text") if "_text" in batch.schema.names else batch.column("_doc").field("text")).to_pylist()
         scores = [0.5 if network is None else network.score((t or "").encode("utf-8")) for t in texts]
         yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(scores, pa.float64())], names=["_doc", "_score"])
 
 
 def scored(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
     """``_doc``, the whole row, and ``_score``, the probability of label 1."""
-    rows = packed(docs, F.col("text").cast("string").alias("_text"))
+    # A text goes to the worker once, inside its row, unless it has to be cast.
+    whole = dict(docs.dtypes).get("text") == "string"
+    rows = packed(docs) if whole else packed(docs, F.col("text").cast("string").alias("_text"))
     schema = StructType([rows.schema["_doc"]]).add("_score", DoubleType())
     return rows.mapInArrow(lambda batches: _scored(batches, network), schema)
 

@@ -75,6 +75,18 @@ def test_quality_edges(edges, nothing):
     assert {r._score for r in quality.scored(edges, None).collect()} == {0.5}
 
 
+def test_texts_reach_the_network_once(spark, monkeypatch):
+    sent = lambda batches, network: (pa.RecordBatch.from_arrays([b.column("_doc"), pa.array([float(b.nbytes)] * len(b))], names=["_doc", "_score"]) for b in batches)
+    table = spark.range(0, 100, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 200).alias("text"))
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "_scored", sent)
+        assert quality.scored(table, None).agg(F.max("_score")).first()[0] < 1.5 * 100 * 1000
+    network = quality.ByteNetwork()
+    raw = table.withColumn("text", F.col("text").cast("binary"))
+    one, cast = ({r._score for r in quality.scored(t, network).collect()} for t in (table, raw))
+    assert one == cast == {network.score(b"word " * 200)} and quality.keep_good(raw, network, 0.0).schema == raw.schema
+
+
 # ---- top-k search
 
 
@@ -521,3 +533,31 @@ def test_pipeline_stages(spark, edges, nothing, tmp_path):
         for stage, run in pipeline.STAGES[:-1]:
             assert run(spark, docs, folder).columns == docs.columns, stage
         assert pipeline.run(spark, folder).columns[:3] == ["doc_id", "start", "length"]
+
+
+def test_pipeline_sends_small_batches(spark, monkeypatch):
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+    def watched(of):
+        def run(batches, *rest):
+            def small():
+                for batch in batches:
+                    if batch.nbytes > most:
+                        raise ValueError(f"{batch.nbytes} bytes in a batch")
+                    yield batch
+
+            return of(small(), *rest)
+
+        return run
+
+    text = F.concat(F.repeat(F.concat(F.lit("word"), F.col("id").cast("string"), F.lit(" ")), 600), F.col("id").cast("string"))
+    table = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    for module, function in ((quality, "_scored"), (simhash, "_described"), (repeats, "_contexts"), (packing, "_cut")):
+        monkeypatch.setattr(module, function, watched(getattr(module, function)))
+    for stage in ("quality_classifier", "simhash_near_dedup", "suffix_array_dedup", "packing"):
+        spark.conf.unset(name)
+        dict(corpus_pipeline.STAGES)[stage](spark, table, DATA).write.format("noop").mode("overwrite").save()
+    spark.conf.set(name, "1m")
+    corpus_pipeline.packing_by_powers_of_two(spark, table, DATA)
+    assert spark.conf.get(name) == "1m"
+    spark.conf.unset(name)
