@@ -309,3 +309,16 @@ def test_queries_fit_only_the_models_they_use(spark, assembled, sides, features,
     assert asked[2:] == [["boosted_bagged", "boosted_columns"]]
     assert {r.model for r in plans.final_models(spark, DATA).collect()} == {"linear", "random_forest", *training.BOOSTED}
     assert asked[3:] == [["random_forest"]]
+
+
+def test_permutation_query_explains_its_whole_sample(spark, assembled, features, monkeypatch):
+    from roadspark.plans import models as plans
+
+    own = plans.Study(spark, DATA)
+    own.__dict__ |= {"features": features, "rows": assembled, "_final": {"boosted_bagged": training.fit(training.linear_regression(), assembled)}}
+    monkeypatch.setattr(plans, "study", lambda s, d: own)
+    walked, walk = [], attribution.random.Random.sample
+    monkeypatch.setattr(attribution.random.Random, "sample", lambda *args: walked.append(1) or walk(*args))
+    found = plans.permuted(spark, DATA).groupBy("Index").count().collect()
+    assert len(found) == min(200, assembled.count()) == 200 and len(walked) == 2
+    assert {r["count"] for r in found} == {len(features.feature_columns)}
