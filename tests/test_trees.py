@@ -270,3 +270,23 @@ def test_attribution_of_no_rows(spark, table, model):
     odd = table.where("Index < 3").withColumn("features", F.when(F.col("Index") > 0, F.col("features")))
     assert tree_attribution(odd, model, NAMES)[0].count() == 8
     assert tree_attribution(odd.where("Index < 0"), model, NAMES)[0].count() == 0
+
+
+def test_leaves_of_the_last_level_are_not_visited(spark, table, monkeypatch):
+    """A pass for every level but the last, whose sums are the splits'; nothing but the rows of the model stays behind."""
+    passes, visit = [], boosting._passed
+
+    def passed(rows, work):
+        passes.append([len(a[3]) + len(a[4]) for a in work.active.values()])
+        return visit(rows, work)
+
+    monkeypatch.setattr(boosting, "_passed", passed)
+    removed = []
+    monkeypatch.setattr(boosting, "remove", lambda s, path: removed.append(path.rsplit("/", 1)[1].rsplit("-", 1)[0]))
+    fit = boosting.Fit(training.boosted(1, 3, min_leaf=7))
+    boosting.grow(table, [fit], local_rows=0)
+    assert passes == [[1], [2], [4]]
+    whole = boosting.Fit(training.boosted(1, 3, min_leaf=7))
+    boosting.grow(table, [whole])
+    assert set(whole.trees[0]["stats"].items()) == set(fit.trees[0]["stats"].items()) and len(fit.trees[0]["stats"]) == 15
+    assert sorted(removed[:2]) == ["binned", "boosting-rows"]
