@@ -92,3 +92,21 @@ def test_works_inside_a_pipeline(sides):
 
 def test_schemas():
     assert [f for f in TRAIN_SCHEMA.names if f != "demand"] == TEST_SCHEMA.names
+
+
+def test_region_fits_do_not_carry_the_plan_of_their_points(spark, sides, monkeypatch):
+    """Every stage of every restart ships the plan it reads from, so it begins at a checkpoint."""
+    from roadspark.operators import features as module
+
+    plans = []
+
+    class Seen(module.KMeans):
+        def fit(self, dataset, params=None):
+            plans.append(dataset._jdf.queryExecution().optimizedPlan().toString())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(module, "KMeans", Seen)
+    places = module.locations(sides[0])
+    centres = module.fit_regions(places, (2,), 2, 42)
+    assert len(plans) == 2 and all(p.startswith("LogicalRDD") for p in plans)
+    assert len(centres[2]) == 2
