@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -322,3 +324,45 @@ def test_permutation_query_explains_its_whole_sample(spark, assembled, features,
     found = plans.permuted(spark, DATA).groupBy("Index").count().collect()
     assert len(found) == min(200, assembled.count()) == 200 and len(walked) == 2
     assert {r["count"] for r in found} == {len(features.feature_columns)}
+
+
+def test_search_queries_run_the_whole_search(spark, assembled, features, monkeypatch):
+    """The library's trials, rounds and patience; final models grow all their rounds."""
+    from roadspark.plans import models as plans
+
+    own = plans.Study(spark, DATA)
+    own.__dict__ |= {"features": features, "rows": assembled}
+    monkeypatch.setattr(plans, "study", lambda s, d: own)
+    tune, train, grow, asked, sizes, kept = tuning.tune, training.train_final, tuning.grow, [], [], []
+
+    def searched(rows, spaces, **options):
+        call = inspect.signature(tune).bind(rows, spaces, **options)
+        call.apply_defaults()
+        asked.append(call.arguments)
+        return tune(rows, {"boosted_full": {"depth": ("int", 1, 2), "rounds": ("int", 12, 14)}}, trials=1, k=2, first_rounds=4)
+
+    def trained(rows, estimators, **options):
+        models, errors = train(rows, estimators, **options)
+        sizes.extend((len(models[n].trees) - 1, estimators[n].rounds) for n in models)
+        return models, errors
+
+    def grown(rows, fits, *args, **options):
+        edges = grow(rows, fits, *args, **options)
+        kept.extend("stats" in tree for f in fits for tree in f.trees)
+        return edges
+
+    monkeypatch.setattr(plans.U, "tune", searched)
+    monkeypatch.setattr(plans.T, "train_final", trained)
+    monkeypatch.setattr(tuning, "grow", grown)
+    assert plans.tuned(spark, DATA).count() == 1
+    assert asked[0]["spaces"] is tuning.SPACES and asked[0]["k"] == 3
+    assert (asked[0]["trials"], asked[0]["first_rounds"], asked[0]["patience"]) == (100, 40, 50)
+    assert sizes == [(rounds, rounds) for _, rounds in sizes] and len(sizes) == 1
+    assert kept and not any(kept)
+
+
+def test_search_lets_go_of_what_others_pushed_out():
+    ended = {("m", t): {"going": t != 2, "held_out": error} for t, error in enumerate([0.4, 0.2, 0.1, 0.3])}
+    trials = [("m", t) for t in range(6)]
+    assert tuning._going(trials, ended, {"m": 2}) == [("m", 1), ("m", 3)]
+    assert tuning._going(trials, ended | {("m", 5): {"going": True, "held_out": 0.2}}, {"m": 2}) == [("m", 1), ("m", 5)]
